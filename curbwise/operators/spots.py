@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from curbwise.functions import cells
 from curbwise.functions.cells import ROUGH_PRECISION, SPOT_PRECISION
-from curbwise.functions.measures import exact_degrees, rounded_mean_of_sum
+from curbwise.functions.measures import PICO_SUM, joined_sum, pico_degrees, pico_sums, rounded_mean
 from curbwise.functions.text import pack_chain, pack_spot
 
 CELLS_PER_ROUGH = 32 ** (SPOT_PRECISION - ROUGH_PRECISION)
@@ -68,16 +68,18 @@ def cell_pairs(orders: DataFrame) -> DataFrame:
     """
     coded = cells.with_cell(orders, "expect_start_latitude", "expect_start_longitude", "exp_cell")
     coded = cells.with_cell(coded, "start_latitude", "start_longitude", "start_cell")
-    return (
-        coded.where(F.col("exp_cell").isNotNull() & F.col("start_cell").isNotNull())
-        .groupBy("city", "exp_cell", "start_cell")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(exact_degrees(F.col("expect_start_latitude"))).alias("exp_lat_sum"),
-            F.sum(exact_degrees(F.col("expect_start_longitude"))).alias("exp_lng_sum"),
-            F.sum(exact_degrees(F.col("start_latitude"))).alias("start_lat_sum"),
-            F.sum(exact_degrees(F.col("start_longitude"))).alias("start_lng_sum"),
-        )
+    sides = {
+        "exp_lat": "expect_start_latitude", "exp_lng": "expect_start_longitude",
+        "start_lat": "start_latitude", "start_lng": "start_longitude",
+    }
+    whole = coded.where(F.col("exp_cell").isNotNull() & F.col("start_cell").isNotNull()).select(
+        "city", "exp_cell", "start_cell", *[pico_degrees(c).alias(n) for n, c in sides.items()]
+    )
+    folded = whole.groupBy("city", "exp_cell", "start_cell").agg(
+        F.count(F.lit(1)).alias("rows"), *[c for n in sides for c in pico_sums(n)]
+    )
+    return folded.select(
+        "city", "exp_cell", "start_cell", "rows", *[joined_sum(n).alias(f"{n}_sum") for n in sides]
     )
 
 
@@ -85,13 +87,11 @@ def _means(df: DataFrame, keys: list[str], side: str) -> DataFrame:
     """Row count and rounded mean coordinates per key, from the pair sums."""
     total = df.groupBy(*keys).agg(
         F.sum("rows").alias("cnt"),
-        F.sum(F.col(f"{side}_lat_sum").cast("decimal(28,12)")).alias("_lat"),
-        F.sum(F.col(f"{side}_lng_sum").cast("decimal(28,12)")).alias("_lng"),
+        F.sum(f"{side}_lat_sum").cast(PICO_SUM).alias("_lat"),
+        F.sum(f"{side}_lng_sum").cast(PICO_SUM).alias("_lng"),
     )
     return total.select(
-        *keys, "cnt",
-        rounded_mean_of_sum(F.col("_lat"), F.col("cnt")).alias("lat"),
-        rounded_mean_of_sum(F.col("_lng"), F.col("cnt")).alias("lng"),
+        *keys, "cnt", rounded_mean("_lat", "cnt").alias("lat"), rounded_mean("_lng", "cnt").alias("lng")
     )
 
 

@@ -10,8 +10,8 @@ from curbwise.sources import schemas, tables
 
 def persist(named: DataFrame, info_path: str, detail_path: str, run_epoch: int) -> None:
     """Replace the info and detail rows of every city in ``named``."""
-    tables.replace_cities(publish.info_rows(named, run_epoch), info_path, "geohash")
-    tables.replace_cities(publish.detail_rows(named, run_epoch), detail_path, "exp_geohash")
+    tables.replace_cities(publish.info_rows(named, run_epoch), info_path)
+    tables.replace_cities(publish.detail_rows(named, run_epoch), detail_path)
 
 
 def persist_city(named: DataFrame, city: str, info_path: str, detail_path: str, run_epoch: int) -> None:

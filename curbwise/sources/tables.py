@@ -12,10 +12,6 @@ from curbwise.sources import schemas
 COORDINATE_COLUMNS = (
     "expect_start_latitude", "expect_start_longitude", "start_latitude", "start_longitude",
 )
-# Upper bounds on the files one write makes per day or city.
-FILES_PER_DAY = 16
-FILES_PER_CITY = 32
-
 
 class EmptyDayError(RuntimeError):
     """A day that should have orders has none."""
@@ -42,12 +38,12 @@ def scan_coordinates(
 def write_day_partitions(positions: DataFrame, path: str) -> None:
     """Replace exactly the days present in ``positions``, leaving other days alone.
 
-    One job covers any number of days. Each task may meet every day, so rows
-    are clustered by day plus an order-id bucket first: a day becomes a few
-    large files, and one very full day is spread over several tasks.
+    One job covers any number of days. Rebalancing gathers each day's rows, so
+    a day becomes few files, and splits a very full day by size over several
+    tasks.
     """
     (
-        positions.repartition("dt", F.pmod(F.xxhash64("service_order_id"), F.lit(FILES_PER_DAY)))
+        positions.hint("rebalance", "dt")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt").parquet(path)
     )
@@ -118,13 +114,10 @@ def replace_city(rows: DataFrame, path: str, city: str) -> None:
     rows.where(F.col("city") == city).drop("city").write.mode("overwrite").parquet(f"{path}/city={city}")
 
 
-def replace_cities(rows: DataFrame, path: str, spread_by: str) -> None:
-    """Replace every city present in ``rows`` in one job.
-
-    ``spread_by`` splits a large city over several tasks and files.
-    """
+def replace_cities(rows: DataFrame, path: str) -> None:
+    """Replace every city present in ``rows`` in one job; a large city is split by size."""
     (
-        rows.repartition("city", F.pmod(F.xxhash64(spread_by), F.lit(FILES_PER_CITY)))
+        rows.hint("rebalance", "city")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("city").parquet(path)
     )

@@ -157,7 +157,7 @@ def city_replace(spark: SparkSession, sf: str) -> DataFrame:
     """Load all cities, then replace one of them."""
     path = staged_path(spark, "info")
     info = given.info(spark, sf)
-    tables.replace_cities(info, path, "geohash")
+    tables.replace_cities(info, path)
     tables.replace_city(info.where(F.col("num") > 3), path, "sh")
     return _info_plain(tables.read_city_table(spark, path, schemas.INFO))
 
