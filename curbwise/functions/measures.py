@@ -47,8 +47,12 @@ def rounded_mean(total: str, rows: str) -> Column:
 
 
 def mean_of_sum(total: Column, rows: Column) -> Column:
-    """Unrounded mean from an exact decimal sum and a count."""
-    return total.cast("double") / rows
+    """Mean from an exact decimal sum and a count, divided before it becomes a double.
+
+    The double then is the nearest to the true mean, so a later decimal
+    rounding sees a tie as a tie.
+    """
+    return (total.cast("decimal(26,12)") / rows.cast("decimal(12,0)")).cast("double")
 
 
 def weighted_sum(value: Column, weight: Column) -> Column:

@@ -363,7 +363,7 @@ CTES |= {
     ),
     "detail": (
         "SELECT startPos AS exp_geohash, city, id, lat6 AS lat, lng6 AS lng, name, score, 'AC01' AS tag, 0 AS status,"
-        f" CAST(count AS INT) AS count, 0 AS show, 0 AS pick, ext, {RUN} AS create_time, {RUN} AS update_time FROM named"
+        f" CAST(count AS INT) AS count, 0 AS \"show\", 0 AS pick, ext, {RUN} AS create_time, {RUN} AS update_time FROM named"
     ),
     "request_cell": (
         "SELECT * FROM " + with_geohash("fx_request", "lat", "lng", "key", 8)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from curbwise.functions import calendar, cells, geo, text
@@ -118,14 +118,13 @@ def chain_csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_FLAT = ("SELECT city, startPos, radius, num, rank, id, round(lat, 9) AS lat, round(lng, 9) AS lng, score, count, ext,"
+_FLAT = ("SELECT city, startPos, radius, num, rank, id, lat6 AS lat, lng6 AS lng, score, count, ext,"
          " 'AC01' AS tag FROM recs")
 
 
 def _flat(recommendations: DataFrame) -> DataFrame:
     return recommend.flattened(recommendations).select(
-        "city", "startPos", "radius", "num", "rank", "id", F.round("lat", 9).alias("lat"),
-        F.round("lng", 9).alias("lng"), "score", "count", "ext", "tag",
+        "city", "startPos", "radius", "num", "rank", "id", r6("lat"), r6("lng"), "score", "count", "ext", "tag",
     )
 
 
@@ -247,7 +246,7 @@ def info_columns(spark: SparkSession, sf: str) -> DataFrame:
     return _info_plain(publish.info_rows(given.named(spark, sf), given.RUN_EPOCH))
 
 
-_DETAIL = ("SELECT exp_geohash, city, id, lat, lng, name, score, tag, status, count, show, pick, ext, create_time,"
+_DETAIL = ("SELECT exp_geohash, city, id, lat, lng, name, score, tag, status, count, \"show\", pick, ext, create_time,"
            " update_time FROM detail")
 
 
@@ -415,9 +414,9 @@ def info_with_points(spark: SparkSession, sf: str) -> DataFrame:
 _LOOKUP = (
     "SELECT q.request_id, CASE WHEN q.city = 'bj' THEN 0 ELSE -2 END AS ret, {key} AS geohash, q.city,"
     " CASE WHEN q.city = 'bj' THEN coalesce(i.regeo, 'no recomms') END AS regeo,"
-    " CASE WHEN q.city = 'bj' THEN coalesce(i.radius, 0) END AS radius, CASE WHEN q.city = 'bj' THEN coalesce(i.num, 0)"
-    " END AS num, CASE WHEN q.city = 'bj' THEN coalesce(d.points, '') END AS points, CASE WHEN q.city = 'bj' THEN"
-    f" coalesce(i.create_time, {o.NOW}) END AS create_time FROM request_cell q LEFT JOIN info i ON i.city = q.city"
+    " CASE WHEN q.city = 'bj' THEN coalesce(i.radius, 0) ELSE -1 END AS radius, CASE WHEN q.city = 'bj' THEN"
+    " coalesce(i.num, 0) ELSE -1 END AS num, CASE WHEN q.city = 'bj' THEN coalesce(d.points, '') END AS points, CASE WHEN q.city = 'bj' THEN"
+    f" coalesce(i.create_time, {o.NOW}) ELSE -1 END AS create_time FROM request_cell q LEFT JOIN info i ON i.city = q.city"
     " AND i.geohash = {key} LEFT JOIN (SELECT city, exp_geohash, string_agg(id, ',' ORDER BY score DESC, id) AS points"
     " FROM detail GROUP BY ALL) d ON d.city = q.city AND d.exp_geohash = {key}"
 )
@@ -425,8 +424,9 @@ _LOOKUP = (
 
 def _lookup_plain(rows: DataFrame) -> DataFrame:
     return rows.select(
-        "request_id", "ret", "geohash", "city", "regeo", "radius", "num",
-        F.when(F.col("recomms").isNotNull(), F.array_join(F.col("recomms.id"), ",")).alias("points"), "create_time",
+        "request_id", "ret", "geohash", "city", "regeo", *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("radius", "num")],
+        F.when(F.col("recomms").isNotNull(), F.array_join(F.col("recomms.id"), ",")).alias("points"),
+        F.coalesce("create_time", F.lit(-1)).alias("create_time"),
     )
 
 
@@ -532,12 +532,12 @@ def cluster_labels_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     return cluster.label_shuffled(given.kept(spark, sf), ["city", "exp_geohash"])
 
 
-@query("A9", "SELECT city, exp_geohash, id, cnt, round(lat, 9) AS lat, round(lng, 9) AS lng, round(dist, 3) AS dist,"
+@query("A9", "SELECT city, exp_geohash, id, cnt, lat6 AS lat, lng6 AS lng, round(dist, 3) AS dist,"
        " CASE WHEN linked THEN 'cooccur' ELSE 'around' END AS kind FROM placed")
 def cluster_centres(spark: SparkSession, sf: str) -> DataFrame:
     spots_in = recommend.cluster_spots(given.kept(spark, sf), given.chains(spark, sf).shared)
     return recommend.recommended_centres(spots_in).select(
-        "city", "exp_geohash", "id", "cnt", F.round("lat", 9).alias("lat"), F.round("lng", 9).alias("lng"),
+        "city", "exp_geohash", "id", "cnt", r6("lat"), r6("lng"),
         r3("dist"), "kind",
     )
 
@@ -548,28 +548,31 @@ def scores(spark: SparkSession, sf: str) -> DataFrame:
     return recommend.scored(recommend.recommended_centres(spots_in)).select("city", "exp_geohash", "id", "cnt", "score")
 
 
+_STATS = ("mean", "std", "min", "p25", "p50", "p75", "max")
+
+
 def _describe_sql(source: str) -> str:
     parts = []
-    for c in ("count", "distance"):
-        parts.append(
-            f"count({c}) AS {c}_count, round(avg({c}), 6) AS {c}_mean, round(stddev_samp({c}), 6) AS {c}_std,"
-            f" round(CAST(min({c}) AS DOUBLE), 6) AS {c}_min, round(quantile_cont({c}, 0.25), 6) AS {c}_p25,"
-            f" round(quantile_cont({c}, 0.5), 6) AS {c}_p50, round(quantile_cont({c}, 0.75), 6) AS {c}_p75,"
-            f" round(CAST(max({c}) AS DOUBLE), 6) AS {c}_max"
+    for c, places in (("count", 6), ("distance", 3)):
+        values = (
+            f"avg({c})", f"stddev_samp({c})", f"min({c})", f"quantile_cont({c}, 0.25)", f"quantile_cont({c}, 0.5)",
+            f"quantile_cont({c}, 0.75)", f"max({c})",
         )
+        parts.append(f"count({c}) AS {c}_count")
+        parts += [
+            f"coalesce(round(CAST({v} AS DOUBLE), {places}), -1) AS {c}_{n}" for n, v in zip(_STATS, values, strict=True)
+        ]
     return f"SELECT request_id, {', '.join(parts)} FROM {source} GROUP BY request_id"
 
 
-_STATS = ("mean", "std", "min", "p25", "p50", "p75", "max")
-
-
-@query("A11", _describe_sql("(SELECT request_id, count, round(distance, 4) AS distance FROM heat_pair)"))
+@query("A11", _describe_sql("heat_pair"))
 def heat_statistics(spark: SparkSession, sf: str) -> DataFrame:
-    near = heat.heat_candidates(given.requests(spark, sf), given.spots(spark, sf))
-    stats = heat.request_statistics(near.withColumn("distance", F.round("distance", 4)))
+    stats = heat.request_statistics(heat.heat_candidates(given.requests(spark, sf), given.spots(spark, sf)))
     return stats.select("request_id", *[
-        c for name in ("count", "distance")
-        for c in (F.col(f"{name}_count"), *[r6(f"{name}_{s}") for s in _STATS])
+        c for name, places in (("count", 6), ("distance", 3))
+        for c in (F.col(f"{name}_count"), *[
+            F.coalesce(F.round(f"{name}_{s}", places), F.lit(-1.0)).alias(f"{name}_{s}") for s in _STATS
+        ])
     ])
 
 
@@ -683,9 +686,7 @@ def pois_by_distance(spark: SparkSession, sf: str) -> DataFrame:
     return near.select("request_id", "poi_id", "distance", order.cast("bigint").alias("place"))
 
 
-def nearby_order(key: str, *order: str):
-    from pyspark.sql import Window
-
+def nearby_order(key: str, *order: str | Column) -> WindowSpec:
     return Window.partitionBy(key).orderBy(*order)
 
 
@@ -849,7 +850,7 @@ def chain_pack(spark: SparkSession, sf: str) -> DataFrame:
     return spots.packed_chains(given.chains(spark, sf))
 
 
-@query("F12", "SELECT city, exp_geohash, spot, cnt, lat, lng FROM cand WHERE cnt % 5 <> 0 OR true")
+@query("F12", "SELECT city, exp_geohash, spot, cnt, lat, lng FROM cand ")
 def chain_unpack(spark: SparkSession, sf: str) -> DataFrame:
     packed = spots.packed_chains(given.chains(spark, sf))
     around, _ = recommend.unpacked_candidates(packed)
@@ -903,9 +904,11 @@ def fallback_names(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("request_id", text.name_or_fallback(found, F.col("address")).alias("name"))
 
 
-@query("F19", "SELECT poi_id, typecode, type_rank FROM typed_poi")
+@query("F19", "SELECT poi_id, typecode, coalesce(type_rank, -1) AS type_rank FROM typed_poi")
 def poi_type_rank(spark: SparkSession, sf: str) -> DataFrame:
-    return given.demo(spark, sf, "poi").select("poi_id", "typecode", naming.type_rank(F.col("typecode")).alias("type_rank"))
+    return given.demo(spark, sf, "poi").select(
+        "poi_id", "typecode", F.coalesce(naming.type_rank(F.col("typecode")), F.lit(-1)).alias("type_rank")
+    )
 
 
 @query("F20", "SELECT dt, service_order_id, strftime(to_timestamp(start_time) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS started"
@@ -919,12 +922,15 @@ def epoch_text(spark: SparkSession, sf: str) -> DataFrame:
 _DAY = "CAST(o_orderdate AS DATE)"
 
 
-@query("F21", f"SELECT CAST(o_orderkey AS BIGINT) AS k, CAST(date_trunc('month', {_DAY} - 1) - INTERVAL 3 MONTH AS DATE) AS first_day,"
-       f" CAST(date_trunc('month', {_DAY} - 1) - INTERVAL 1 DAY AS DATE) AS last_day FROM orders")
+@query("F21", f"SELECT CAST(o_orderkey AS BIGINT) AS k, CAST(strftime(date_trunc('month', {_DAY} - 1) - INTERVAL 3 MONTH, '%Y%m%d') AS INT)"
+       f" AS first_day, CAST(strftime(date_trunc('month', {_DAY} - 1) - INTERVAL 1 DAY, '%Y%m%d') AS INT) AS last_day FROM orders")
 def training_window(spark: SparkSession, sf: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf}/orders.parquet")
     first, last = calendar.training_window(F.col("o_orderdate").cast("date"))
-    return rows.select(F.col("o_orderkey").cast("bigint").alias("k"), first.alias("first_day"), last.alias("last_day"))
+    return rows.select(
+        F.col("o_orderkey").cast("bigint").alias("k"),
+        calendar.day_key(first).alias("first_day"), calendar.day_key(last).alias("last_day"),
+    )
 
 
 @query("F22", f"SELECT CAST(o_orderkey AS BIGINT) AS k, CAST(strftime({_DAY}, '%Y%m%d') AS INT) AS day,"
@@ -1082,9 +1088,10 @@ def _heat_sql(points: str, stats: str, lat: str, lng: str) -> str:
     )
     return (
         f"SELECT q.request_id, CASE WHEN h.rank IS NULL THEN 1 ELSE 0 END AS status, CASE WHEN h.rank IS NULL THEN 'EMPTY'"
-        f" ELSE 'OK' END AS info, h.rank, h.geohash, {lat} AS lat, {lng} AS lng, h.count, round(h.distance, 3) AS distance,"
+        f" ELSE 'OK' END AS info, coalesce(h.rank, -1) AS rank, h.geohash, coalesce({lat}, -1) AS lat, coalesce({lng}, -1) AS lng,"
+        " coalesce(h.count, -1) AS count, coalesce(round(h.distance, 3), -1) AS distance,"
         " CASE WHEN h.rank IS NOT NULL THEN coalesce(CASE WHEN b.m <= 20 THEN b.raw ELSE b.raw || '附近' END,"
-        " coalesce(a.address, '') || '-推荐上车点') END AS name, s.n AS count_count, round(s.mean, 6) AS count_mean"
+        " coalesce(a.address, '') || '-推荐上车点') END AS name, coalesce(s.n, -1) AS count_count, coalesce(round(s.mean, 6), -1) AS count_mean"
         f" FROM fx_request q LEFT JOIN {o.with_geohash(hot, 'lat', 'lng', 'cell', 8)} h ON h.request_id = q.request_id"
         f" LEFT JOIN {best} b ON b.city = h.city AND b.lat = h.lat AND b.lng = h.lng LEFT JOIN cell_address a"
         f" ON a.cell = h.cell LEFT JOIN (SELECT request_id, count(*) AS n, avg(count) AS mean FROM {stats} GROUP BY ALL) s"
@@ -1093,9 +1100,13 @@ def _heat_sql(points: str, stats: str, lat: str, lng: str) -> str:
 
 
 def _heat_plain(rows: DataFrame) -> DataFrame:
+    def known(name: str, places: int | None = None) -> Column:
+        value = F.col(name) if places is None else F.round(name, places)
+        return F.coalesce(value, F.lit(-1)).alias(name)
+
     return rows.select(
-        "request_id", "status", "info", "rank", "geohash", r6("lat"), r6("lng"), "count", r3("distance"), "name",
-        "count_count", r6("count_mean"),
+        "request_id", "status", "info", known("rank"), "geohash", known("lat", 6), known("lng", 6), known("count"),
+        known("distance", 3), "name", known("count_count"), known("count_mean", 6),
     )
 
 
