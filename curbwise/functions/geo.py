@@ -151,42 +151,42 @@ def _reduced(lat: str) -> str:
 def with_ellipsoid_m(
     df: DataFrame, lat1: str, lng1: str, lat2: str, lng2: str, out: str, steps: int = NEAR_STEPS
 ) -> DataFrame:
-    """Add the Vincenty distance in metres between two points of each row."""
+    """Add the Vincenty distance in metres between two points of each row.
+
+    All steps are aliases of one select; the analyzer turns aliases that use
+    earlier ones into a chain of projections.
+    """
     keep = [f"`{c}`" for c in df.columns]
-    fixed = ["_s1", "_c1", "_s2", "_c2", "_dl"]
-    df = df.selectExpr(
-        *keep,
+    terms = [
         f"sin({_reduced(lat1)}) AS _s1", f"cos({_reduced(lat1)}) AS _c1",
         f"sin({_reduced(lat2)}) AS _s2", f"cos({_reduced(lat2)}) AS _c2",
-        f"radians({lng2} - {lng1}) AS _dl", f"radians({lng2} - {lng1}) AS _lam",
-    )
-    along = "(_c1 * _s2 - _s1 * _c2 * cos(_lam))"
-    angles = [
-        f"greatest(sqrt(pow(_c2 * sin(_lam), 2) + {along} * {along}), {_TINY}) AS _ss",
-        "_s1 * _s2 + _c1 * _c2 * cos(_lam) AS _cs",
-        "_c1 * _c2 * sin(_lam) AS _turn",
+        f"radians({lng2} - {lng1}) AS _dl",
     ]
+    lam = "_dl"
     for step in range(steps + 1):
-        df = df.selectExpr(*keep, *fixed, *angles)
-        df = df.selectExpr(
-            *keep, *fixed, "_ss", "_cs", "_turn / _ss AS _sa",
-            f"greatest(1D - pow(_turn / _ss, 2), {_TINY}) AS _ca",
-        )
-        mid = "(_cs - 2D * _s1 * _s2 / _ca)"
+        along = f"(_c1 * _s2 - _s1 * _c2 * cos({lam}))"
+        ss, cs, sa, ca = (f"_{n}{step}" for n in ("ss", "cs", "sa", "ca"))
+        terms += [
+            f"greatest(sqrt(pow(_c2 * sin({lam}), 2) + {along} * {along}), {_TINY}) AS {ss}",
+            f"_s1 * _s2 + _c1 * _c2 * cos({lam}) AS {cs}",
+            f"_c1 * _c2 * sin({lam}) / {ss} AS {sa}",
+            f"greatest(1D - {sa} * {sa}, {_TINY}) AS {ca}",
+        ]
+        mid = f"({cs} - 2D * _s1 * _s2 / {ca})"
         if step == steps:
             break
-        c = _series_c("_ca")
-        df = df.selectExpr(
-            *keep, *fixed,
-            f"_dl + (1D - {c}) * {WGS84_F}D * _sa * (atan2(_ss, _cs) + {c} * _ss * "
-            f"({mid} + {c} * _cs * (2D * {mid} * {mid} - 1D))) AS _lam",
+        c = _series_c(ca)
+        lam = f"_lam{step}"
+        terms.append(
+            f"_dl + (1D - {c}) * {WGS84_F}D * {sa} * (atan2({ss}, {cs}) + {c} * {ss} * "
+            f"({mid} + {c} * {cs} * (2D * {mid} * {mid} - 1D))) AS {lam}"
         )
-    big_a, big_b = _series_ab("_ca")
-    df = df.selectExpr(*keep, "_ss", "_cs", f"{mid} AS _mid", f"{big_a} AS _a", f"{big_b} AS _b")
+    big_a, big_b = _series_ab(ca)
+    terms += [f"{mid} AS _mid", f"{big_a} AS _a", f"{big_b} AS _b", f"atan2({ss}, {cs}) AS _sigma"]
+    df = df.selectExpr(*keep, *terms)
     return df.selectExpr(
         *keep,
-        computed_once(f"{WGS84_B}D * _a * (atan2(_ss, _cs) - {_delta_sigma('_b', '_ss', '_cs', '_mid')})")
-        + f" AS `{out}`",
+        computed_once(f"{WGS84_B}D * _a * (_sigma - {_delta_sigma('_b', ss, cs, '_mid')})") + f" AS `{out}`",
     )
 
 

@@ -10,7 +10,7 @@ from curbwise.functions.geo import FAR_STEPS, haversine_m, with_ellipsoid_m
 from curbwise.functions.measures import describe
 from curbwise.functions.text import name_or_fallback
 from curbwise.operators.cluster import label_points
-from curbwise.operators.naming import best_names, of_preferred_type, pois_around
+from curbwise.operators.naming import searched_names
 from curbwise.operators.nearby import within_metres
 from curbwise.operators.recommend import cluster_centres
 from curbwise.operators.spots import upper_quartile
@@ -76,8 +76,7 @@ def hottest(points: DataFrame, top: int = DEFAULT_TOP) -> DataFrame:
 def named(points: DataFrame, pois: DataFrame, addresses: DataFrame) -> DataFrame:
     """Points with the best name around them, else their cell's address."""
     places = points.select("city", "lat", "lng").distinct()
-    names = best_names(pois_around(places, of_preferred_type(pois)), ["city", "lat", "lng"])
-    rows = points.join(names, ["city", "lat", "lng"], "left")
+    rows = points.join(searched_names(places, pois), ["city", "lat", "lng"], "left")
     rows = cells.with_geohash(rows, "lat", "lng", "cell", cells.SPOT_PRECISION).join(addresses, "cell", "left")
     return rows.withColumn("name", name_or_fallback(F.col("name"), F.col("address"))).drop("cell", "address")
 

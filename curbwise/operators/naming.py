@@ -9,6 +9,7 @@ from curbwise.functions import cells
 from curbwise.functions.cells import SPOT_PRECISION
 from curbwise.functions.text import decorated_name, name_or_fallback, trim_address
 from curbwise.operators.nearby import within_metres
+from curbwise.session import stage
 
 # Type-code prefixes in order of preference, reach of a preferred
 # type and of the search itself, in metres.
@@ -62,6 +63,20 @@ def best_names(candidates: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def searched_names(places: DataFrame, pois: DataFrame) -> DataFrame:
+    """The best name per distinct (city, lat, lng) place among preferred types.
+
+    Searched close by first: whatever lies there wins, since a preferred type
+    within reach outranks anything farther. Only places with nothing close
+    search the full radius, and those are places where little lies around.
+    """
+    here = ["city", "lat", "lng"]
+    typed = of_preferred_type(pois)
+    close = stage(best_names(pois_around(places, typed, PREFERRED_REACH_M), here), "names-close")
+    lonely = places.join(close, here, "left_anti")
+    return close.unionByName(best_names(pois_around(lonely, typed), here))
+
+
 def address_by_cell(addresses: DataFrame) -> DataFrame:
     """One short address per precision-8 cell from located reverse-geocode rows."""
     located = cells.with_geohash(addresses, "lat", "lng", "cell", SPOT_PRECISION)
@@ -85,34 +100,38 @@ def address_names(points: DataFrame, addresses: DataFrame) -> DataFrame:
     ).drop("_short")
 
 
+def _option(order: str) -> Column:
+    return F.struct(
+        F.col(order).alias("o"), F.col("poi_name").alias("raw"),
+        decorated_name(F.col("poi_name"), F.col(f"{order}.distance")).alias("shown"),
+    )
+
+
 def _options(uses: DataFrame, pois: DataFrame) -> DataFrame:
-    """Per distinct place: its best distinct names, and the nearest as a reserve.
+    """Per distinct place: its best distinct names close by, and the nearest as a reserve.
 
     A point of rank r can lose at most r - 1 names to better points, so r names
-    are enough for an exact choice.
+    are enough for an exact choice. Only places with nothing close search the
+    full radius for their reserve.
     """
-    places = uses.groupBy("city", "lat", "lng").agg(F.max("rank").alias("need"))
-    around = pois_around(places, of_preferred_type(pois))
     here = ["city", "lat", "lng"]
-    per_name = around.groupBy(*here, "need", "poi_name").agg(F.min(F.struct(
-        preference(F.col("typecode"), F.col("distance")).alias("p"), F.col("distance"), F.col("poi_id")
-    )).alias("_best"), F.min(F.struct("distance", "poi_id")).alias("_near"))
-    ranked = per_name.select(
-        *here, "need", "poi_name", "_best", "_near",
-        F.row_number().over(Window.partitionBy(*here).orderBy("_best", "poi_name")).alias("_at"),
+    places = stage(uses.groupBy(*here).agg(F.max("rank").alias("need")), "places")
+    typed = of_preferred_type(pois)
+    per_name = pois_around(places, typed, PREFERRED_REACH_M).groupBy(*here, "need", "poi_name").agg(
+        F.min(F.struct(type_rank(F.col("typecode")).alias("p"), F.col("distance"), F.col("poi_id"))).alias("_best"),
+        F.min(F.struct("distance", "poi_id")).alias("_near"),
     )
-    wanted = (F.col("_at") <= F.col("need")) & (F.col("_best.p") < _UNRANKED)
-    option = F.struct(
-        F.col("_best").alias("o"), F.col("poi_name").alias("raw"),
-        decorated_name(F.col("poi_name"), F.col("_best.distance")).alias("shown"),
-    )
-    reserve = F.min(F.struct(
-        F.col("_near").alias("o"), F.col("poi_name").alias("raw"),
-        decorated_name(F.col("poi_name"), F.col("_near.distance")).alias("shown"),
+    at = F.row_number().over(Window.partitionBy(*here).orderBy("_best", "poi_name"))
+    close = stage(per_name.withColumn("_at", at).groupBy(*here).agg(
+        F.sort_array(F.collect_list(F.when(F.col("_at") <= F.col("need"), _option("_best")))).alias("options"),
+        F.min(_option("_near")).alias("reserve"),
+    ), "names-close")
+    lonely = places.join(close, here, "left_anti")
+    far = pois_around(lonely, typed).withColumn("_near", F.struct("distance", "poi_id"))
+    none = F.array().cast(close.schema["options"].dataType)
+    return close.unionByName(far.groupBy(*here).agg(F.min(_option("_near")).alias("reserve")).select(
+        *here, none.alias("options"), "reserve"
     ))
-    return ranked.groupBy(*here).agg(
-        F.sort_array(F.collect_list(F.when(wanted, option))).alias("options"), reserve.alias("reserve")
-    )
 
 
 def _pick(state: Column, point: Column) -> Column:
@@ -135,9 +154,8 @@ def chosen_names(uses: DataFrame, pois: DataFrame) -> DataFrame:
     """
     options = _options(uses, pois)
     offered = uses.join(options, ["city", "lat", "lng"], "left")
-    empty = F.lit(None).cast("array<string>")
     per_recommendation = offered.groupBy("city", "startPos").agg(F.sort_array(F.collect_list(
-        F.struct("rank", F.coalesce("options", F.filter("options", lambda o: F.lit(False))).alias("options"), "reserve")
+        F.struct("rank", "options", "reserve")
     )).alias("points"))
     start = F.struct(
         F.array().cast("array<string>").alias("used"),
