@@ -25,7 +25,7 @@ def heat_query(
     found = stage(found, "heat")
     statistics = heat.request_statistics(found)
     points = heat.clustered(found) if cluster else found
-    best = heat.named(heat.hottest(points, top), pois, addresses)
+    best = heat.named(stage(heat.hottest(points, top), "hottest"), pois, addresses)
     answers = statistics.join(
         best.select("request_id", "rank", "geohash", "lat", "lng", "count", "distance", "name"), "request_id"
     )
