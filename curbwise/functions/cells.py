@@ -134,4 +134,5 @@ def with_decoded(df: DataFrame, geohash: str, out_lat: str, out_lng: str) -> Dat
         ((x + half_x) / _AXIS_CELLS * 360.0 - 180.0).alias("_wlng"),
     )
     lat, lng = wgs_to_gcj("_wlat", "_wlng")
-    return df.select(*keep, lat.alias(out_lat), lng.alias(out_lng))
+    # Generated rather than projected for the same reason as ``computed_once``.
+    return df.select(*keep, F.inline(F.array(F.struct(lat.alias(out_lat), lng.alias(out_lng)))))

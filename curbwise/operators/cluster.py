@@ -163,9 +163,11 @@ def label_shuffled(
 ) -> DataFrame:
     """Component labels for groups of any size: smallest-id spreading with jumps.
 
-    Each round takes the smallest label among a point and its neighbours, then
-    replaces it by that label's own label. Rounds are staged tables, so lineage
-    stays short and a lost executor costs one round at most.
+    Each round offers the smallest label around a point to the point and to the
+    owner of its present label, then replaces every label by that label's own.
+    Offering to owners joins whole clusters at once, so even a long chain takes
+    a number of rounds near the logarithm of its length. Rounds are staged
+    tables: lineage stays short and a lost executor costs one round at most.
     """
     nodes = stage(points.select(*keys, point_id, "lat", "lng"), "cluster-nodes")
     links = stage(neighbour_links(nodes, keys, point_id, reach).drop("distance"), "cluster-links")
@@ -173,12 +175,19 @@ def label_shuffled(
     while True:
         seen = labels.select(*keys, F.col(point_id).alias("other"), F.col("cluster").alias("_near"))
         lowest = links.join(seen, [*keys, "other"]).groupBy(*keys, point_id).agg(F.min("_near").alias("_near"))
-        spread = labels.join(lowest, [*keys, point_id], "left").select(
-            *keys, point_id, F.col("cluster").alias("_old"), F.least("cluster", "_near").alias("_new")
+        joined = labels.join(lowest, [*keys, point_id], "left")
+        offer = F.least("cluster", "_near").alias("_new")
+        to_self = joined.select(*keys, point_id, F.col("cluster").alias("_old"), offer)
+        to_owner = joined.where(F.col("_near") < F.col("cluster")).select(
+            *keys, F.col("cluster").alias(point_id), F.lit(None).cast("string").alias("_old"), offer
         )
-        spread = stage(spread, "cluster-spread")
+        spread = stage(to_self.unionByName(to_owner).groupBy(*keys, point_id).agg(
+            F.max("_old").alias("_old"), F.min("_new").alias("_new")
+        ), "cluster-spread")
         owners = spread.select(*keys, F.col(point_id).alias("_new"), F.col("_new").alias("_root"))
-        jumped = spread.join(owners, [*keys, "_new"]).select(*keys, point_id, "_old", F.least("_new", "_root").alias("cluster"))
+        jumped = spread.join(owners, [*keys, "_new"]).select(
+            *keys, point_id, "_old", F.least("_new", "_root").alias("cluster")
+        )
         jumped = stage(jumped, "cluster-labels")
         labels = jumped.select(*keys, point_id, "cluster")
         if jumped.where(F.col("_old") != F.col("cluster")).isEmpty():
