@@ -241,19 +241,22 @@ def packed_chains(chains: Chains) -> DataFrame:
     sizes = chains.cooccur.groupBy("city", "exp_geohash").agg(
         F.ceil(F.count(F.lit(1)) / SPOTS_PER_LINE).alias("_lines")
     )
-    linked = (
-        chains.cooccur.join(sizes, ["city", "exp_geohash"])
-        .withColumn("line", F.pmod(F.xxhash64("spot"), F.col("_lines")).cast("int"))
-        .groupBy("city", "exp_geohash", "line")
-        .agg(pack_chain(F.sort_array(F.collect_set(packed))).alias("cooccurs"))
+    pieces = chains.cooccur.join(sizes, ["city", "exp_geohash"]).select(
+        "city", "exp_geohash", F.pmod(F.xxhash64("spot"), F.col("_lines")).cast("int").alias("line"),
+        packed.alias("item"),
+    )
+    # Line 0 carries the around list, so every point has one.
+    heads = chains.points.select("city", "exp_geohash", F.lit(0).alias("line"), F.lit(None).cast("string").alias("item"))
+    linked = pieces.unionByName(heads).groupBy("city", "exp_geohash", "line").agg(
+        pack_chain(F.sort_array(F.collect_set("item"))).alias("cooccurs")
     )
     lines = (
         chains.points.join(around, ["city", "exp_rough"], "left")
-        .join(linked, ["city", "exp_geohash"], "left")
+        .join(linked, ["city", "exp_geohash"])
     )
-    first = F.coalesce(F.col("line"), F.lit(0)) == 0
+    first = F.col("line") == 0
     return lines.select(
         "city", "exp_geohash",
         F.when(first, F.coalesce("arounds", F.lit(""))).otherwise("").alias("arounds"),
-        "exp_lat", "exp_lng", F.coalesce("cooccurs", F.lit("")).alias("cooccurs"),
+        "exp_lat", "exp_lng", "cooccurs",
     )
