@@ -14,16 +14,17 @@ Points are drawn in order of time and only until every register has one, so the
 work is near n + m log m for n shingles and m registers.
 
 Links. Equal texts share one key (md5) and take part once. Each band of six
-registers is a bucket. Every member is compared with the bucket's leader, which
-differs from band to band as it is the smallest of a hash of key and band; the
-links join texts to components. Then the pairs of one bucket that are still in
-different components, fit in size and may reach 0.8 by their signatures are
-compared as well, so no link between different texts goes unseen because it
-does not touch a leader. Comparisons are exact, on the multisets.
+registers is a bucket. Every member is compared with the bucket's leader, the
+member with the largest buckets in all bands, so that a group of copies gathers
+around the text nearest to all of them; the links join texts to components.
+Then every text that shares a bucket with a component without belonging to it is
+held against all of that component and the others of its kind, in blocks:
+signatures first, and the pairs that may reach 0.8 by their texts, so nothing is
+lost because it does not touch a leader. Links are exact, on the multisets.
 
 What a pair misses: with 30 bands a pair at exactly 0.8 shares no bucket with
-probability 1e-4, and pairs whose signatures agree in less than 0.64 of the
-registers (five standard deviations under 0.8) are not compared.
+probability 1e-4, and pairs whose signatures agree in less than 0.7 of the
+registers (3.4 standard deviations under 0.8) are not compared.
 
 Defined results: null and empty texts and texts without a word have no shingles
 and are each alone in a class of their own; a null ``doc_id`` forms links like
@@ -46,7 +47,9 @@ BANDS, BAND_ROWS = 30, 6
 REGISTERS = BANDS * BAND_ROWS
 SIMILARITY = 0.8
 #: Agreement of signatures below which a pair is not compared.
-LEAST_ESTIMATE = 0.64
+LEAST_ESTIMATE = 0.7
+#: Members and shingles in a block of the second step: about 2 MB.
+BLOCK, BLOCK_WEIGHT = 512, 200_000
 #: Words a task remembers before it starts afresh; only speed depends on it.
 KEPT_WORDS = 400_000
 
@@ -173,15 +176,16 @@ def _promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return agreed.where(F.col("agreement") >= LEAST_ESTIMATE).select("a", "b")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame) -> DataFrame:
-    """The pairs of nodes whose multisets have a similarity of at least 0.8.
-
-    A node's text is that of the row it was made from, found again by id and key.
-    """
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _spelled(wanted: DataFrame, nodes: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The texts of the wanted nodes, each found again by the id and key of the row it was made from."""
     rows = nodes.join(wanted, "node").select("node", F.col("doc_id").alias("id"), F.col("key").alias("want"))
     found = keyed.join(rows, (F.col("key") == F.col("want")) & F.col("doc_id").eqNullSafe(F.col("id")))
-    spelled = stage(found.select("node", "text"), "near-texts")
+    return stage(found.select("node", "text"), "near-texts")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The pairs of nodes whose multisets have a similarity of at least 0.8."""
+    spelled = _spelled(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), nodes, keyed)
     both = pairs
     for end in ("a", "b"):
         both = both.join(spelled.toDF(end, f"text_{end}"), end)
@@ -199,6 +203,89 @@ def _verified(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame) -> DataFrame
     return measured.where(F.col("similarity") >= SIMILARITY).select("a", "b").distinct()
 
 
+def _between(crowded: DataFrame, joined: DataFrame, nodes: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Links between the components that meet in a bucket, found block by block.
+
+    Of the components in a bucket the largest is its main one; the other texts
+    of the bucket are guests of that component. Guests are held against all
+    members and guests. A task holds one pair of blocks at a time however large
+    the component is, and only links leave it; a guest that has a link to a
+    component needs no second one.
+    """
+    spark = crowded.sparkSession
+    placed = crowded.join(joined, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    parts = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("bucket").agg(
+        F.max_by("part", F.expr("shiftleft(n, 20) + pmod(xxhash64(part), 1048576)")).alias("main"),
+        F.count(F.lit(1)).alias("n_parts"),
+    ).where("n_parts > 1")
+    guests = stage(
+        placed.join(mixed, "bucket").where("part != main").select("main", "node", "part").distinct(), "near-guests"
+    )
+    mains = guests.select("main").distinct()
+    members = placed.select("node", "part").distinct().join(mains, F.col("part") == F.col("main"))
+    rows = guests.select("*", F.lit(True).alias("guest")).union(members.select("main", "node", "part", F.lit(False)))
+    spelled = _spelled(rows.select("node").distinct(), nodes, keyed)
+    full = rows.join(nodes.select("node", "weight", "sig"), "node").join(spelled, "node")
+    sizes = rows.join(nodes.select("node", "weight"), "node").groupBy("main").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("weight") / BLOCK_WEIGHT)).alias("chunks")
+    )
+    held = stage(
+        full.join(sizes, "main").withColumn("chunk", F.expr("pmod(xxhash64(node), chunks)")), "near-open"
+    )
+    member = F.struct("node", "part", "weight", "sig", "text")
+    every = held.groupBy("main", "chunk").agg(F.collect_list(member).alias("right"))
+    left = held.where("guest").groupBy("main", F.col("chunk").alias("own"), "chunks").agg(F.collect_list(member).alias("left"))
+    blocks = (
+        left.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+        .join(every, ["main", "chunk"]).select("left", "right")
+    )
+
+    def run(batches):
+        shingler = Shingler()
+        for batch in batches:
+            for at in range(batch.num_rows):
+                a, b = _block_links(*(batch.column(c).slice(at, 1) for c in ("left", "right")), shingler)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    # A pair of blocks is a large row: a batch of the usual number of rows would not fit.
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(key)
+    spark.conf.set(key, 4)
+    try:
+        return stage(blocks.mapInArrow(run, "a bigint, b bigint").distinct(), "near-between")
+    finally:
+        spark.conf.set(key, usual)
+
+
+def _block_links(left: pa.ListArray, right: pa.ListArray, shingler: Shingler) -> tuple[list[int], list[int]]:
+    def read(column: pa.ListArray):
+        rows = column.flatten()
+        node, part, weight, sig, text = (rows.field(name) for name in ("node", "part", "weight", "sig", "text"))
+        table = np.frombuffer(b"".join(sig.to_pylist()), "<u4").reshape(-1, REGISTERS)
+        return node.to_numpy(), part.to_numpy(), weight.to_numpy(), table, text
+
+    left_node, left_part, left_weight, left_sig, left_text = read(left)
+    right_node, right_part, right_weight, right_sig, right_text = read(right)
+    bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    found: tuple[list[int], list[int]] = ([], [])
+    for i in range(len(left_node)):
+        agreed = (right_sig == left_sig[i]).sum(axis=1)
+        fits = np.minimum(right_weight, left_weight[i]) >= SIMILARITY * np.maximum(right_weight, left_weight[i])
+        open_ = np.flatnonzero((agreed >= LEAST_ESTIMATE * REGISTERS) & fits & (right_part != left_part[i]))
+        linked: set[int] = set()
+        own = shingler(left_text[i].as_py()) if len(open_) else None
+        for j in open_[np.argsort(-agreed[open_], kind="stable")].tolist():
+            if int(right_part[j]) not in linked:
+                if j not in bags:
+                    bags[j] = shingler(right_text[j].as_py())
+                if similarity(own, bags[j]) >= SIMILARITY:
+                    linked.add(int(right_part[j]))
+                    found[0].append(int(min(left_node[i], right_node[j])))
+                    found[1].append(int(max(left_node[i], right_node[j])))
+    return found
+
+
 def _key(text: str) -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
 
@@ -215,47 +302,39 @@ def _find(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame
         .select("node", "doc_id", "key", "weight", "sig"), "near-nodes",
     )
     banded = _banded(nodes)
-    rank = F.xxhash64("bucket", "node")
-    leaders = banded.groupBy("bucket").agg(F.min_by("node", rank).alias("leader"), F.count(F.lit(1)).alias("members"))
-    crowded = stage(banded.join(leaders.where("members > 1"), "bucket").select("bucket", "node", "leader"), "near-buckets")
-    stars = crowded.where("node != leader").select(
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    crowded = stage(banded.join(shared, "bucket").select("bucket", "node", "members"), "near-buckets")
+    # The last bits tell equals apart.
+    reach = crowded.groupBy("node").agg(F.sum("members").alias("reach")).select(
+        "node", F.expr("shiftleft(reach, 20) + pmod(xxhash64(node), 1048576)").alias("reach")
+    )
+    ranked = crowded.join(reach, "node")
+    leaders = ranked.groupBy("bucket").agg(F.max_by("node", "reach").alias("leader"))
+    stars = crowded.join(leaders, "bucket").where("node != leader").select(
         F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")
     ).distinct()
     links = stage(_verified(stage(_promising(stars, nodes), "near-pairs"), nodes, keyed), "near-links")
     joined = components(links, "a", "b")
 
-    # Second step: what is left between the components of a bucket, without the leaders' pairs.
-    placed = crowded.join(joined, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    mixed = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low != high")
-    still = stage(placed.join(mixed.select("bucket"), "bucket").select("bucket", "node", "leader", "part"), "near-open")
-    left = still.select("bucket", "leader", F.col("node").alias("a"), F.col("part").alias("part_a"))
-    right = still.select(F.col("bucket"), F.col("node").alias("b"), F.col("part").alias("part_b"))
-    rest = left.join(right, "bucket").where(
-        "a < b AND part_a != part_b AND a != leader AND b != leader"
-    ).select("a", "b").distinct()
-    rest = stage(_promising(rest, nodes), "near-pairs")
-    if not rest.isEmpty():
-        links = stage(links.union(_verified(rest, nodes, keyed)), "near-links")
-        joined = components(links, "a", "b")
-
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    more = _between(crowded, joined, nodes, keyed)
+    if not more.isEmpty():
+        joined = components(links.union(more), "a", "b")
     copies = signed.where("weight > 0").groupBy("key").agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id"))
     member = copies.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = member.groupBy("component").agg(
         F.min("least_id").alias("class_id"), F.min_by("node", F.coalesce("least_id", F.lit(2**63 - 1))).alias("head")
     )
     by_key = stage(
-        member.join(named, "component").join(degree, "node", "left")
-        .select(F.col("key").alias("its_key"), "node", "class_id", "head", "n_links"), "near-classes",
+        member.join(named, "component").select(F.col("key").alias("its_key"), "node", "class_id", "head"), "near-classes"
     )
     return signed, by_key
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per row of ``docs``: doc_id, class_id (the least id of its class) and n_links of its text."""
+    """A row per row of ``docs``: doc_id and class_id, the least id of its class."""
     signed, by_key = _find(docs, doc_id, text)
     return signed.join(by_key, F.col("key") == F.col("its_key"), "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id")
     )
 
 

@@ -18,6 +18,7 @@ rows with equal ids are ordered by a hash of their text; null ids come first.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from pathlib import Path
 
@@ -27,11 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from curbwise.llm.batches import arrow_pass, ship_package, texts
+from curbwise.llm.batches import arrow_pass, ship_package, stage, texts
 
 END_ID = 2
 #: Stretches a worker remembers before it starts afresh; only speed depends on it.
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 500_000
+#: A Latin word with the marks after it; such words are one piece each.
+_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,]*)")
 #: Rows between entries of the row index, and bytes of a stripe.
 INDEX_STRIDE, STRIPE_BYTES = 10_000, 64 << 20
 
@@ -47,23 +50,37 @@ class LibraryEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
 
     def library(self, chunks: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
         return [np.array(each.ids, "<i4").tobytes() for each in found]
 
+    def library_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are one piece each, from a single text: a piece ends with an end-of-word token."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<i4")
+        stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(stops) != len(words):
+            return self.library(words)
+        data = ids.tobytes()
+        return [data[4 * a:4 * b] for a, b in zip([0, *stops], stops, strict=False)]
+
     def learn(self, chunks: set[str]) -> None:
-        """Encode stretches not met before; an ASCII word's case and trailing marks are looked at apart."""
+        """Encode stretches not met before; the letters of a Latin word and the marks after it are looked at apart."""
         known, direct, split = self.known, [], []
+        match = _WORD.fullmatch
         for chunk in chunks:
-            stem = chunk.rstrip(".,")
-            if stem.isalpha() and stem.isascii():
-                split.append((chunk, stem.lower(), chunk[len(stem):]))
+            found = match(chunk)
+            if found:
+                split.append((chunk, found[1].lower(), found[2]))
             else:
                 direct.append(chunk)
-        parts = {part for _, stem, marks in split for part in (stem, marks)}
-        direct += parts.difference(known)
+        stems = list({stem for _, stem, _ in split}.difference(known))
+        direct += {marks for _, _, marks in split}.difference(known)
         known.update(zip(direct, self.library(direct), strict=True))
+        known.update(zip(stems, self.library_words(stems), strict=True))
         known.update((chunk, known[stem] + known[marks]) for chunk, stem, marks in split)
 
     def encode_all(self, values: list[str], end: list[int]) -> pa.ListArray:
@@ -131,7 +148,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 def token_positions(tokens: DataFrame) -> DataFrame:
     """Per document: ``start`` (ids before it in file order), ``n_tokens`` and ``ids_crc32``.
 
-    Only the counts are shuffled. The upper bits of ``place`` name the file
+    Only the counts are kept, once, and shuffled. The upper bits of ``place`` name the file
     part, so the running sum is taken inside each part, and the parts' totals
     (one row each) carry it across them.
     """
@@ -146,9 +163,8 @@ def token_positions(tokens: DataFrame) -> DataFrame:
 
         return compute
 
-    counted = arrow_pass(tokens, "n_tokens bigint, ids_crc32 bigint", make, drop=("ids",))
+    counted = stage(arrow_pass(tokens, "n_tokens bigint, ids_crc32 bigint", make, drop=("ids",)), "token-counts")
     counted = counted.withColumn("part", F.shiftright("place", 33))
-    # A part's first place holds its total, so one exchange by part serves both sums.
     inside = W.partitionBy("part").orderBy("place")
     running = counted.withColumn("upto", F.sum("n_tokens").over(inside))
     totals = counted.groupBy("part").agg(F.sum("n_tokens").alias("total"))
