@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,22 +32,43 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 def staging_root(spark: SparkSession) -> str:
     """The folder for staged tables: ``spark.checkpoint.dir`` where it is set.
 
-    Only a local-mode session without the setting gets a temporary folder; on a
-    cluster a machine-local folder would be lost with its machine, so that is
-    refused.
+    A local session without the setting stages below its warehouse folder. On
+    a cluster the setting is required, and a path that only one machine sees
+    (no scheme where the default file system is the local one) is refused.
     """
     configured = spark.conf.get(_CHECKPOINT_KEY, None)
+    local = spark.conf.get("spark.master", "").startswith("local")
     if configured:
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+        if not local and "://" not in configured and default.startswith("file:"):
+            raise RuntimeError(f"{_CHECKPOINT_KEY} is {configured}, a folder of one machine; name a shared one with its scheme")
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not local:
         raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="curbwise-")
-    spark.conf.set(_CHECKPOINT_KEY, root)
-    return root
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staged"
+
+
+_run: list[str] = []
+
+
+@contextmanager
+def staging_run(spark: SparkSession) -> Iterator[str]:
+    """Everything staged inside the ``with`` block goes into one folder, which is deleted at its end.
+
+    Write final results elsewhere before the block ends.
+    """
+    folder = f"{staging_root(spark)}/run-{uuid.uuid4().hex}"
+    _run.append(folder)
+    try:
+        yield folder
+    finally:
+        _run.remove(folder)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged_path(spark: SparkSession, label: str) -> str:
-    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_run[-1] if _run else staging_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -57,7 +80,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = staged_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
