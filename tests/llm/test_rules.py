@@ -1,0 +1,127 @@
+"""Operators 3, 4, 5, 8 and 10 against plain re-statements of their rules."""
+
+import re
+
+import pytest
+
+from curbwise.llm import decontaminate, licenses, pii, quality, urls
+from curbwise.llm.batches import words_of
+
+
+def test_text_counts():
+    text = "a b c a b c x\n\u00e9\u00e9 #$\n\u00e9\u00e9 #$\n \n"
+    assert quality.text_counts(text.encode()) == (11, 15, 4, 1, 6, 3)
+    assert quality.text_counts(b"") == (0, 0, 0, 0, 0, 0)
+
+
+def test_quality_odd_rows(odd_docs, no_docs):
+    rows = quality.judge(odd_docs.select("doc_id", "lang", "source", "text")).collect()
+    assert len(rows) == odd_docs.count()
+    assert all(not r.kept for r in rows if r.n_words < 50)
+    assert [r.kept for r in rows if r.doc_id == 1] == [True]
+    assert quality.judge(no_docs.select("doc_id", "lang", "source", "text")).count() == 0
+
+
+def test_quality_fence_follows_the_group(spark):
+    clean = " ".join(f"word{i}" for i in range(80))
+    dirty = " ".join(f"w#{i}" for i in range(80))
+    rows = [(i, "en", "tame", clean) for i in range(60)] + [(100, "en", "tame", dirty)]
+    rows += [(200 + i, "en", "wild", dirty) for i in range(60)]
+    kept = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")).collect()}
+    assert kept[0] and not kept[100] and kept[200]
+
+
+PLAIN = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+)
+
+
+@pytest.mark.parametrize("text", [
+    "x.y@a.b-c.de,x@y z@@q.com a@b.c@d.e.f 1.2.3.4.5.6 0255.1.1.1 256.1.1.1 1..2.3.4", "4111 1111 1111 1111 and 4111111111111111 4111-1111-1111-1112",
+    "+1 (017) 555-7713 +12 +123456789012345678 +1((((", "7536784127813050 4845168114407329", "9" * 500 + "@" + "a." * 50, "",
+])
+def test_base_spans_equal_the_plain_patterns(text):
+    found = []
+    for kind, pattern in PLAIN:
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": True, "ip": kind == "ip" and all(int(p[-9:]) <= 255 and len(p.lstrip("0")) < 4 for p in m[0].split(".")),
+                "card": 16 <= len(digits) <= 19 and pii.luhn(digits), "phone": 8 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                found.append((kind, m.start(), m.end()))
+    assert [s[:3] for s in pii.base_spans(text)] == found
+
+
+def test_added_spans_need_checksum_and_context():
+    assert pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB82WEST12345698765433")
+    assert [s[0] for s in pii.find_spans("IBAN GB82 WEST 1234 5698 7654 32")[1]] == ["iban"]
+    assert not pii.find_spans("123-45-6789")[1] and [s[0] for s in pii.find_spans("SSN 123-45-6789")[1]] == ["ssn"]
+    pair = "4111111111111111 4111111111111111"
+    assert not pii.find_spans(pair)[1] and len(pii.find_spans("card " + pair)[1]) == 2
+    assert pii.redact_text("mail a@b.co now", pii.find_spans("mail a@b.co now")[1]) == "mail [EMAIL] now"
+
+
+def test_pii_odd_rows(odd_docs, no_docs):
+    rows = {r.doc_id: r for r in pii.digest(pii.detect(odd_docs.select("doc_id", "text"))).collect()}
+    assert (rows[9].n_email, rows[9].n_phone, rows[5].spans) == (1, 1, "")
+    assert pii.digest(pii.detect(no_docs.select("doc_id", "text"))).count() == 0
+
+
+def plain_hits(text, items):
+    words = words_of(text.encode())
+    hit, names = set(), set()
+    for name, item in items:
+        parts = words_of((item or "").encode())
+        size = min(10, len(parts))
+        windows = {tuple(parts[i:i + size]) for i in range(len(parts) - size + 1)} if parts else set()
+        for i in range(len(words) - size + 1):
+            if tuple(words[i:i + size]) in windows:
+                hit.update(range(i, i + size))
+                names.add(name)
+    return len(words), len(hit), sorted(names)
+
+
+@pytest.mark.parametrize("block", [200_000, 3])
+def test_decontamination_equals_brute_force(odd_docs, no_docs, small_benchmark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", block)
+    items = [("null" if r.item_id is None else str(r.item_id), r.text) for r in small_benchmark.collect()]
+    plain = odd_docs.select("doc_id", "text")
+    for row in decontaminate.scan(plain, small_benchmark).collect():
+        assert (row.n_words, row.n_hit, row["items"]) == plain_hits(row.text or "", items)
+    assert decontaminate.summary(decontaminate.scan(plain, small_benchmark)).where("contaminated").count() == 5
+    kept = decontaminate.clean(odd_docs, small_benchmark)
+    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 5
+    assert decontaminate.clean(no_docs, small_benchmark).count() == 0
+    assert decontaminate.clean(odd_docs, small_benchmark.limit(0)).count() == odd_docs.count()
+
+
+def test_urls(spark):
+    rows = [
+        (1, "http://A.Example.ORG/es/x?q"), (2, "https://x.com/de/"), (3, "http://casino.net/"), (4, "http://casinos.net/"),
+        (5, "http://free-bets.net/a"), (6, "http://free.net/freed"), (7, None), (8, "no scheme"), (9, "http://x.org"),
+        (10, "http://example.org/en/17#t"), (10, "http://example.org/en/17#t"), (None, "a://b://c/d"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "'x' AS host", "'y' AS verdict")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(pages).collect()}
+    assert got[1] == ("a.example.org", "/es/x", "example.org/es/", "block")
+    assert got[2] == ("x.com", "/de/", "com/de/", "block")
+    assert [got[i][3] for i in (3, 4, 5, 6)] == ["block", "allow", "block", "allow"]
+    assert got[7] == ("", "", None, "allow") and got[8][:2] == ("", "") and got[9] == ("x.org", "", None, "allow")
+    assert got[10][2] == "example.org/en/1" and got[None][:2] == ("b:", "//c/d")
+    assert urls.judge(pages.limit(0)).count() == 0
+
+
+def test_licenses(spark, odd_docs, no_docs):
+    scanner = licenses.Scanner()
+    filler = [f"w{i}".encode() for i in range(3000)]
+    for name, text in licenses.TEMPLATES:
+        words = words_of(text.encode())
+        for at in (0, 1, 7, 500, 2999):
+            found = scanner.scan([filler[:at] + words + filler[at:], filler])
+            assert name in {m[0] for m in found[0]} and not found[1], (name, at)
+    plain = odd_docs.select("doc_id", "text")
+    assert licenses.scan(plain).where("size(matches) > 0").count() == 0 and licenses.scan(plain).count() == odd_docs.count()
+    assert licenses.scan(no_docs.select("doc_id", "text")).count() == 0
