@@ -67,10 +67,11 @@ def clustered(candidates: DataFrame) -> DataFrame:
     return with_ellipsoid_m(centres, "req_lat", "req_lng", "lat", "lng", "distance", FAR_STEPS)
 
 
-def hottest(points: DataFrame, top: int = DEFAULT_TOP) -> DataFrame:
-    """The ``top`` points of each request by count."""
+def hottest(points: DataFrame, top: int | None = DEFAULT_TOP) -> DataFrame:
+    """The points of each request ranked by count, the first ``top`` of them unless that is None."""
     order = Window.partitionBy("request_id").orderBy(F.desc("count"), "geohash")
-    return points.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    ranked = points.withColumn("rank", F.row_number().over(order))
+    return ranked if top is None else ranked.where(F.col("rank") <= top)
 
 
 def named(points: DataFrame, pois: DataFrame, addresses: DataFrame) -> DataFrame:

@@ -105,7 +105,7 @@ def city_dimension(spark: SparkSession) -> DataFrame:
 
 def with_area(rows: DataFrame, dimension: DataFrame) -> DataFrame:
     """Rows of served cities with their area; the dimension is a fixed small list."""
-    return rows.join(F.broadcast(dimension), "city")
+    return rows.join(dimension, "city")
 
 
 def request_keys(requests: DataFrame) -> DataFrame:
@@ -127,7 +127,7 @@ def lookup(
     served cities and is a small dimension.
     """
     keyed = request_keys(requests).select("request_id", "city", F.col("key").alias("geohash"))
-    known = F.broadcast(cities.select("city", F.lit(True).alias("_known")).distinct())
+    known = cities.select("city", F.lit(True).alias("_known")).distinct()
     points = nested_points(detail, LOOKUP_POINT)
     found = info.join(points, ["city", "geohash"], "left").withColumn("_found", F.lit(True))
     rows = keyed.join(known, "city", "left").join(found, ["city", "geohash"], "left")

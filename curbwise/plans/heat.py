@@ -12,9 +12,11 @@ from curbwise.session import stage
 def heat_query(
     requests: DataFrame, spots: DataFrame, pois: DataFrame, addresses: DataFrame,
     level: int = heat.DEFAULT_LEVEL, radius: float = heat.DEFAULT_RADIUS_M,
-    filter_by_count: bool = False, cluster: bool = False, top: int = heat.DEFAULT_TOP,
+    filter_by_count: bool = False, cluster: bool = False, top: int | None = None,
 ) -> DataFrame:
-    """The hottest points of every request, named, with the request's statistics.
+    """Every point of every request, hottest first, named, with the request's statistics.
+
+    ``top`` keeps that many points of a request; without it all are returned.
 
     Statistics cover the candidates after the filter and before clustering. A
     request that finds nothing keeps one row with status 1 and info EMPTY.

@@ -13,14 +13,12 @@ from curbwise.session import stage
 from curbwise.sources import tables
 
 
-def mine_chains(orders: DataFrame, debug_rows: int | None = None) -> Chains:
+def mine_chains(orders: DataFrame) -> Chains:
     """Candidate chains of every city in ``orders``.
 
     The orders are read once. The folded pairs are staged because four plans
     read them; everything after works on that much smaller table.
     """
-    if debug_rows is not None:
-        orders = orders.limit(debug_rows)
     return build_chains(stage(cell_pairs(orders), "pairs"))
 
 

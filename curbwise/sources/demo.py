@@ -82,22 +82,24 @@ DEMO_SQL["road"] = """
 SELECT CAST(c.c_custkey AS BIGINT) AS point_id,
   CAST(39900000 + (c.c_custkey * 389) % 13500 AS DOUBLE) / 1000000 AS lat,
   CAST(116300000 + (c.c_custkey * 571) % 23500 AS DOUBLE) / 1000000 AS lng,
-  concat('road', CAST(r.n_nationkey AS VARCHAR(4))) AS name,
-  CAST((c.c_custkey * 17 + r.n_nationkey * 29) % 2990 AS DOUBLE) / 10 AS distance,
-  CASE (c.c_custkey + r.n_nationkey) % 8 WHEN 0 THEN '北' WHEN 1 THEN '东北' WHEN 2 THEN '东' WHEN 3 THEN '东南'
+  concat('road', CAST(k AS VARCHAR(4))) AS name,
+  CAST((c.c_custkey * 17 + k * 29) % 2990 AS DOUBLE) / 10 AS distance,
+  CASE (c.c_custkey + k) % 8 WHEN 0 THEN '北' WHEN 1 THEN '东北' WHEN 2 THEN '东' WHEN 3 THEN '东南'
     WHEN 4 THEN '南' WHEN 5 THEN '西南' WHEN 6 THEN '西' ELSE '西北' END AS direction,
-  CASE WHEN r.n_nationkey % 3 = 2 THEN 'roadinter' ELSE 'road' END AS type
-FROM {customer} c JOIN {nation} r ON r.n_nationkey < 4
+  CASE WHEN k % 3 = 2 THEN 'roadinter' ELSE 'road' END AS type
+FROM (
+  SELECT c_custkey, 0 AS k FROM {customer} UNION ALL SELECT c_custkey, 1 AS k FROM {customer}
+  UNION ALL SELECT c_custkey, 2 AS k FROM {customer} UNION ALL SELECT c_custkey, 3 AS k FROM {customer}) c
 WHERE c.c_custkey % 9 <> 0
 """
 
 DEMO_SQL["address"] = """
 SELECT CAST(c_custkey AS BIGINT) AS point_id,
-  concat('北京市', '北京市', '海淀区', CASE WHEN c_custkey % 2 = 0 THEN '中关村街道' ELSE '上庄镇' END, '路', CAST(c_custkey AS VARCHAR(12)), '号') AS formatted_address,
+  concat('北京市', '北京市', '海淀区', CASE WHEN c_custkey % 5 = 1 THEN '' WHEN c_custkey % 7 = 3 THEN '上庄乡' WHEN c_custkey % 2 = 0 THEN '中关村街道' ELSE '上庄镇' END, '路', CAST(c_custkey AS VARCHAR(12)), '号') AS formatted_address,
   CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE '北京市' END AS province,
   CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE '北京市' END AS city,
   CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE '海淀区' END AS district,
-  CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN '中关村街道' ELSE '上庄镇' END AS township
+  CASE WHEN c_custkey % 3 = 0 OR c_custkey % 5 = 1 THEN NULL WHEN c_custkey % 7 = 3 THEN '上庄乡' WHEN c_custkey % 2 = 0 THEN '中关村街道' ELSE '上庄镇' END AS township
 FROM {customer}
 """
 

@@ -878,11 +878,11 @@ def address_marker_trim(spark: SparkSession, sf: str) -> DataFrame:
     return given.addresses(spark, sf).select("point_id", text.trim_by_marker(F.col("formatted_address")).alias("short"))
 
 
-@query("F16", "SELECT point_id, " + o.marker_trim("cut", ("街道", "镇", "乡", "区"))
-       + " AS short FROM (SELECT point_id, substr(formatted_address, 1, 9) AS cut FROM address_rows)")
+@query("F16", f"SELECT point_id, {o.marker_trim('formatted_address', ('街道', '镇', '乡', '区'))} AS short FROM address_rows")
 def address_marker_trim_district(spark: SparkSession, sf: str) -> DataFrame:
-    cut = given.addresses(spark, sf).withColumn("cut", F.substring("formatted_address", 1, 9))
-    return cut.select("point_id", text.trim_by_marker(F.col("cut"), with_district=True).alias("short"))
+    return given.addresses(spark, sf).select(
+        "point_id", text.trim_by_marker(F.col("formatted_address"), with_district=True).alias("short")
+    )
 
 
 @query("F17", "SELECT point_id, name, CASE WHEN distance <= 20 THEN name ELSE name || '附近' END AS shown, distance FROM fx_road")
@@ -1084,7 +1084,7 @@ def _heat_sql(points: str, stats: str, lat: str, lng: str) -> str:
     )
     hot = (
         f"(SELECT *, CAST(row_number() OVER (PARTITION BY request_id ORDER BY count DESC, geohash) AS INT) AS rank FROM"
-        f" {points} QUALIFY rank <= 10)"
+        f" {points})"
     )
     return (
         f"SELECT q.request_id, CASE WHEN h.rank IS NULL THEN 1 ELSE 0 END AS status, CASE WHEN h.rank IS NULL THEN 'EMPTY'"
@@ -1114,7 +1114,7 @@ def _heat_plain(rows: DataFrame) -> DataFrame:
 def heat_query(spark: SparkSession, sf: str) -> DataFrame:
     return _heat_plain(heat_plan.heat_query(
         given.requests(spark, sf), given.spots(spark, sf), given.demo(spark, sf, "poi"),
-        naming.address_by_cell(given.located_addresses(spark, sf)), top=10,
+        naming.address_by_cell(given.located_addresses(spark, sf)),
     ))
 
 
@@ -1122,7 +1122,7 @@ def heat_query(spark: SparkSession, sf: str) -> DataFrame:
 def heat_query_clustered(spark: SparkSession, sf: str) -> DataFrame:
     return _heat_plain(heat_plan.heat_query(
         given.requests(spark, sf), given.spots(spark, sf), given.demo(spark, sf, "poi"),
-        naming.address_by_cell(given.located_addresses(spark, sf)), filter_by_count=True, cluster=True, top=10,
+        naming.address_by_cell(given.located_addresses(spark, sf)), filter_by_count=True, cluster=True,
     ))
 
 
