@@ -4,11 +4,15 @@ Words of the labelled training documents are counted per class: bigrams, and
 the distinct left neighbours of a word (its continuation count). The ordinary
 class's counts are scaled to the size of the toxic class, so that both models
 lack as much evidence. A class's probability of a word is its discounted
-continuation count plus a backoff that both classes share: the discounted mass,
-dealt out by the number of classes a word occurs in. A bigram adds its
-discounted count in the class to ``BIGRAM_BACKOFF`` shared counts split as the
-lower order says. Rare expressions thus get nearly the same probability in both
-models, and only what one class uses clearly more often moves the score.
+continuation count on top of ``STEM_BACKOFF`` shared counts, split as the word's
+stem (its first ``STEM`` characters) says; a word outside the tables has its
+stem alone. So insults that are compounds or inflections, each too rare to
+count, are known by how they begin. A stem's probability is its discounted count
+plus a backoff that both classes share: the discounted mass, dealt out by the
+number of classes it occurs in. A bigram adds its discounted count in the class
+to ``BIGRAM_BACKOFF`` shared counts split as the lower order says. Rare
+expressions thus get nearly the same probability in both models, and only what
+one class uses clearly more often moves the score.
 
 A toxic document is ordinary text with some toxic expressions, so the toxic
 model is mixed with the ordinary one (``MIXTURE``); the difference of the two
@@ -17,8 +21,9 @@ logistic curve fitted on labelled documents of another fold than the counts.
 
 All labelled training rows are counted, in Spark. What is broadcast for scoring
 is bounded: the ``VOCABULARY`` most frequent words seen at least ``LEAST_WORD``
-times in labelled text (other words count as one unknown word), and of the
-bigrams of two such words the ``BIGRAMS`` most frequent, seen at least twice.
+times in labelled text, the ``STEMS`` most frequent stems of all words (a word
+with neither is unknown and moves nothing), and of the bigrams of two words of
+the vocabulary the ``BIGRAMS`` most frequent, seen at least twice.
 The logistic curve is fitted on at most ``CALIBRATION_ROWS`` labelled documents,
 chosen by a hash of the id.
 
@@ -41,7 +46,8 @@ from curbwise.llm.batches import ROWS, arrow_pass, fold, ship_package, stage, wo
 
 VOCABULARY, LEAST_WORD = 120_000, 3
 BIGRAMS, LEAST_BIGRAM = 400_000, 2
-DISCOUNT, BIGRAM_BACKOFF, MIXTURE = 0.75, 5.0, 0.02
+STEM, STEMS = 5, 200_000
+DISCOUNT, STEM_BACKOFF, BIGRAM_BACKOFF, MIXTURE = 0.75, 5.0, 20.0, 0.02
 CALIBRATION_ROWS = 20_000
 #: Labels up to this many rows are broadcast to the documents (some 25 MB); more are joined by shuffle.
 BROADCAST_LABELS = 1_000_000
@@ -94,35 +100,53 @@ def _counted(rows: DataFrame, grams, schema: str, keys: list[str]) -> DataFrame:
     return partial.groupBy(*keys).agg(*split)
 
 
+def _to_size(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The counts with the ordinary class's scaled to the size of the toxic class, and the factors."""
+    totals = np.maximum(counts.sum(axis=0), 1)
+    scale = np.array([totals[1] / totals[0], 1.0])
+    return counts * scale, scale
+
+
 class Model:
     """The bounded arrays that score a text."""
 
-    def __init__(self, words: list[bytes], left: np.ndarray, keys: np.ndarray, bigrams: np.ndarray) -> None:
+    def __init__(
+        self, words: list[bytes], left: np.ndarray, keys: np.ndarray, bigrams: np.ndarray,
+        stems: list[str], stem_counts: np.ndarray,
+    ) -> None:
         """``left`` has the continuation counts of each word (0: the unknown word), ``bigrams`` the counts of
-        the ascending ``keys``; both have a column per class, ordinary first."""
+        the ascending ``keys``, ``stem_counts`` those of the stems; all have a column per class, ordinary first."""
         self.place = {word: at + 1 for at, word in enumerate(words)}
         self.size = len(words) + 1
-        totals = np.maximum(left.sum(axis=0), 1)
-        scale = np.array([totals[1] / totals[0], 1.0])
-        scaled = left * scale
-        kinds = np.maximum((left > 0).sum(axis=1), 1)
+        self.stems = {stem: self.size + at for at, stem in enumerate(stems)}
+        scaled, _ = _to_size(stem_counts)
+        kinds = np.maximum((stem_counts > 0).sum(axis=1), 1)
         freed = np.minimum(scaled, DISCOUNT).sum(axis=0).mean()
-        lower = np.maximum(scaled - DISCOUNT, 0) + (max(freed, 1.0) * kinds / kinds.sum())[:, None]
-        self.lower = lower / lower.mean(axis=1, keepdims=True)
-        self.lower[0] = 1.0
+        shared = np.maximum(scaled - DISCOUNT, 0) + (max(freed, 1.0) * kinds / max(kinds.sum(), 1))[:, None]
+        shared = shared / shared.mean(axis=1, keepdims=True)
+        # A row for each word, the unknown one first, and then for each stem.
+        self.lower = np.concatenate([np.ones((self.size, 2)), shared])
+        scaled, scale = _to_size(left)
+        self.lower[1:self.size] = STEM_BACKOFF * self.lower[[self.stem(word) for word in words]]
+        self.lower[1:self.size] += np.maximum(scaled - DISCOUNT, 0)[1:]
+        self.lower /= self.lower.mean(axis=1, keepdims=True)
         self.keys = keys
         self.direct = np.maximum(bigrams * scale - DISCOUNT, 0)
         self.weights = np.zeros(4)
 
+    def stem(self, word: bytes) -> int:
+        return self.stems.get(word.decode("utf-8", "replace")[:STEM], 0)
+
     def evidence(self, words: list[bytes]) -> float:
         """Log-likelihood of the toxic model less that of the ordinary one."""
         if not words:
             return 0.0
-        get = self.place.get
-        codes = np.fromiter((get(word, 0) for word in words), np.int64, len(words))
+        get, stem = self.place.get, self.stem
+        codes = np.fromiter((get(word) or stem(word) for word in words), np.int64, len(words))
         mass = self.lower[codes]
         if len(self.keys):
-            wanted = codes[:-1] * self.size + codes[1:]
+            known = np.where(codes < self.size, codes, 0)
+            wanted = known[:-1] * self.size + known[1:]
             at = np.searchsorted(self.keys, wanted)
             at[at == len(self.keys)] = 0
             hit = np.flatnonzero(self.keys[at] == wanted)
@@ -168,10 +192,13 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int = 0)
         return float(shares.get(1, 0) > 0)
     curve_part = (held_out + 1) % modulus
     counted = rows.where(F.col("part") != curve_part)
-    vocabulary = (
-        _counted(counted, lambda: iter, "word binary, toxic int, n bigint", ["word"])
-        .where(F.col("n0") + F.col("n1") >= LEAST_WORD)
-        .orderBy((F.col("n0") + F.col("n1")).desc(), "word").limit(VOCABULARY).toArrow()
+    seen = F.col("n0") + F.col("n1")
+    all_words = stage(_counted(counted, lambda: iter, "word binary, toxic int, n bigint", ["word"]), "toxic-words")
+    vocabulary = all_words.where(seen >= LEAST_WORD).orderBy(seen.desc(), "word").limit(VOCABULARY).toArrow()
+    stems = (
+        all_words.groupBy(F.substring(F.col("word").cast("string"), 1, STEM).alias("stem"))
+        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        .orderBy(seen.desc(), "stem").limit(STEMS).toArrow()
     )
     words = vocabulary.column("word").to_pylist()
     place = spark.sparkContext.broadcast({word: at + 1 for at, word in enumerate(words)})
@@ -192,8 +219,8 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int = 0)
         *[F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"k{c}") for c in (0, 1)]
     ).toArrow()
     common = (
-        grams.where((F.col("n0") + F.col("n1") >= LEAST_BIGRAM) & (first > 0) & (second > 0))
-        .orderBy((F.col("n0") + F.col("n1")).desc(), "pair").limit(BIGRAMS).toArrow()
+        grams.where((seen >= LEAST_BIGRAM) & (first > 0) & (second > 0))
+        .orderBy(seen.desc(), "pair").limit(BIGRAMS).toArrow()
     )
 
     left = np.zeros((size, 2))
@@ -201,7 +228,10 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int = 0)
         left[before.column("w").to_numpy(), c] = before.column(f"k{c}").to_numpy()
     order = np.argsort(common.column("pair").to_numpy())
     bigrams = np.stack([common.column(f"n{c}").to_numpy()[order] for c in (0, 1)], axis=1).astype(float)
-    model = Model(words, left, common.column("pair").to_numpy()[order], bigrams)
+    stem_counts = np.stack([stems.column(f"n{c}").to_numpy() for c in (0, 1)], axis=1).astype(float)
+    model = Model(
+        words, left, common.column("pair").to_numpy()[order], bigrams, stems.column("stem").to_pylist(), stem_counts
+    )
     _calibrate(model, rows.where(F.col("part") == curve_part))
     return model
 
