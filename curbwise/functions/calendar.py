@@ -47,6 +47,12 @@ def month_range(first: Column, last: Column) -> Column:
     return F.transform(ended, lambda d: F.year(d) * 100 + F.month(d))
 
 
+def days_between(first_day: int, last_day: int) -> list[int]:
+    """The ``yyyymmdd`` keys of the calendar days of an inclusive span."""
+    first, last = (dt.datetime.strptime(str(key), "%Y%m%d").date() for key in (first_day, last_day))
+    return [int((first + dt.timedelta(days=n)).strftime("%Y%m%d")) for n in range((last - first).days + 1)]
+
+
 def month_bounds(month: int) -> tuple[int, int]:
     """The day keys a ``yyyymm`` month can have: a range that prunes partitions."""
     return month * 100 + 1, month * 100 + 31

@@ -22,7 +22,6 @@ from curbwise.functions.text import pack_chain, pack_spot
 
 CELLS_PER_ROUGH = 32 ** (SPOT_PRECISION - ROUGH_PRECISION)
 SUPPORT_QUANTILE = 0.75
-SPOTS_PER_LINE = 4096
 
 _SPOT = ["spot", "cnt", "lat", "lng"]
 
@@ -227,36 +226,28 @@ def chain_rows(chains: Chains) -> DataFrame:
 
 
 def packed_chains(chains: Chains) -> DataFrame:
-    """The text form: one line per expected point.
+    """The text form: a line per expected point and rough cell of its co-occurring spots.
 
-    Around lists are bounded by the rough cell. A co-occurrence list is not, so
-    one longer than SPOTS_PER_LINE continues on further lines of the same
-    expected point, split by the spot's hash; readers take all lines together.
+    The line of the point's own rough cell is always there and carries the
+    around list. Both lists are bounded by a rough cell, at every size of the
+    data; readers take all lines of a point together.
     """
     packed = pack_spot(F.col("spot"), F.col("cnt"), F.col("lat"), F.col("lng"))
-    around = (
-        chains.around.groupBy("city", "rough").agg(pack_chain(F.sort_array(F.collect_set(packed))).alias("arounds"))
-        .withColumnRenamed("rough", "exp_rough")
+    around = chains.around.groupBy("city", F.col("rough").alias("_own")).agg(
+        pack_chain(F.sort_array(F.collect_set(packed))).alias("arounds")
     )
-    sizes = chains.cooccur.groupBy("city", "exp_geohash").agg(
-        F.ceil(F.count(F.lit(1)) / SPOTS_PER_LINE).alias("_lines")
+    items = chains.cooccur.select(
+        "city", "exp_geohash", cells.prefix(F.col("spot"), ROUGH_PRECISION).alias("_rough"), packed.alias("item")
     )
-    pieces = chains.cooccur.join(sizes, ["city", "exp_geohash"]).select(
-        "city", "exp_geohash", F.pmod(F.xxhash64("spot"), F.col("_lines")).cast("int").alias("line"),
-        packed.alias("item"),
+    own_lines = chains.points.select(
+        "city", "exp_geohash", F.col("exp_rough").alias("_rough"), F.lit(None).cast("string").alias("item")
     )
-    # Line 0 carries the around list, so every point has one.
-    heads = chains.points.select("city", "exp_geohash", F.lit(0).alias("line"), F.lit(None).cast("string").alias("item"))
-    linked = pieces.unionByName(heads).groupBy("city", "exp_geohash", "line").agg(
+    linked = items.unionByName(own_lines).groupBy("city", "exp_geohash", "_rough").agg(
         pack_chain(F.sort_array(F.collect_set("item"))).alias("cooccurs")
     )
-    lines = (
-        chains.points.join(around, ["city", "exp_rough"], "left")
-        .join(linked, ["city", "exp_geohash"])
+    lines = chains.points.join(linked, ["city", "exp_geohash"]).withColumn(
+        "_own", F.when(F.col("_rough") == F.col("exp_rough"), F.col("_rough"))
     )
-    first = F.col("line") == 0
-    return lines.select(
-        "city", "exp_geohash",
-        F.when(first, F.coalesce("arounds", F.lit(""))).otherwise("").alias("arounds"),
-        "exp_lat", "exp_lng", "cooccurs",
+    return lines.join(around, ["city", "_own"], "left").select(
+        "city", "exp_geohash", F.coalesce("arounds", F.lit("")).alias("arounds"), "exp_lat", "exp_lng", "cooccurs"
     )

@@ -33,11 +33,9 @@ def merge_days(orders: DataFrame, ext: DataFrame, first_day: int, last_day: int)
 
 
 def merge_days_to_table(orders: DataFrame, ext: DataFrame, first_day: int, last_day: int, path: str) -> None:
-    """Merge and replace those days; a span without any order fails first."""
-    merged = merge_days(orders, ext, first_day, last_day)
-    valid = orders.where(F.col("dt").between(first_day, last_day) & valid_order())
-    tables.require_rows(valid, f"days {first_day} to {last_day}")
-    tables.write_day_partitions(merged, path)
+    """Merge and replace those days; a day of the span without a valid order fails first, before anything is written."""
+    tables.require_days(orders.where(valid_order()), first_day, last_day)
+    tables.write_day_partitions(merge_days(orders, ext, first_day, last_day), path)
 
 
 def merge_exports(orders: DataFrame, ext: DataFrame) -> DataFrame:
@@ -53,17 +51,15 @@ def merge_exports(orders: DataFrame, ext: DataFrame) -> DataFrame:
 
 
 def export_months(orders: DataFrame, ext: DataFrame, months: list[int], folder: str) -> None:
-    """Write each month's valid orders and ext rows as TSV folders."""
-    for month in months:
-        tables.export_month(
-            orders, month, valid_order() & real_passenger(), schemas.ORDER_EXPORT.names,
-            f"{folder}/orders_{month}",
-        )
-        tables.export_month(ext, month, valid_ext(), schemas.EXT_EXPORT.names, f"{folder}/ext_{month}")
+    """Write the months' valid orders and ext rows as TSV: one job per table, a folder per month."""
+    tables.write_tsv_months(
+        orders, months, valid_order() & real_passenger(), schemas.ORDER_EXPORT.names, f"{folder}/orders"
+    )
+    tables.write_tsv_months(ext, months, valid_ext(), schemas.EXT_EXPORT.names, f"{folder}/ext")
 
 
 def merge_tsv_to_table(spark: SparkSession, folder: str, months: list[int], path: str) -> None:
     """Load the months' TSV exports and replace their days in the fact table."""
-    orders = tables.read_tsv(spark, [f"{folder}/orders_{m}" for m in months], schemas.ORDER_EXPORT)
-    ext = tables.read_tsv(spark, [f"{folder}/ext_{m}" for m in months], schemas.EXT_EXPORT)
+    orders = tables.read_tsv_months(spark, f"{folder}/orders", schemas.ORDER_EXPORT, months)
+    ext = tables.read_tsv_months(spark, f"{folder}/ext", schemas.EXT_EXPORT, months)
     tables.write_day_partitions(merge_exports(orders, ext), path)

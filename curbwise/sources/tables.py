@@ -6,13 +6,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curbwise.functions.calendar import month_bounds
+from curbwise.functions.calendar import days_between, month_bounds, month_key
 from curbwise.sources import schemas
 
 COORDINATE_COLUMNS = (
     "expect_start_latitude", "expect_start_longitude", "start_latitude", "start_longitude",
 )
 
+#: Partition column of the monthly exports.
+MONTH = "month"
+#: Written for NULL in chain files, so that an empty list stays empty.
+CSV_NULL = "\\N"
+
+
 class EmptyDayError(RuntimeError):
     """A day that should have orders has none."""
 
@@ -49,11 +55,16 @@ def write_day_partitions(positions: DataFrame, path: str) -> None:
     )
 
 
-def require_rows(day: DataFrame, label: str) -> DataFrame:
-    """Fail when a day has no rows; stops at the first row found."""
-    if day.isEmpty():
-        raise EmptyDayError(f"no records for {label}")
-    return day
+def require_days(rows: DataFrame, first_day: int, last_day: int) -> DataFrame:
+    """The rows of the inclusive span; fails naming its calendar days without any row.
+
+    One row per day of the span reaches the driver, however many orders there are.
+    """
+    span = rows.where(F.col("dt").between(first_day, last_day))
+    missing = set(days_between(first_day, last_day)).difference(row["dt"] for row in span.select("dt").distinct().collect())
+    if missing:
+        raise EmptyDayError(f"no records for {', '.join(map(str, sorted(missing)))}")
+    return span
 
 
 def read_tsv(
@@ -67,9 +78,19 @@ def read_tsv(
     return reader.csv(path)
 
 
-def write_tsv(rows: DataFrame, path: str) -> None:
+def read_tsv_months(spark: SparkSession, path: str, schema: T.StructType, months: list[int]) -> DataFrame:
+    """Rows of those months from a ``write_tsv_months`` folder; other months' files are not opened."""
+    rows = read_tsv(spark, path, T.StructType([*schema.fields, T.StructField(MONTH, T.IntegerType())]))
+    return rows.where(F.col(MONTH).isin(months)).select(*schema.names)
+
+
+def write_tsv_months(rows: DataFrame, months: list[int], keep: Column, columns: list[str], path: str) -> None:
+    """Distinct projection of the months' valid rows as TSV, a folder per month, in one job; replaces ``path``."""
+    month = month_key(F.col("dt"))
+    kept = rows.where(month.isin(months) & keep).select(*columns, month.alias(MONTH)).distinct()
     (
-        rows.write.mode("overwrite").option("sep", "\t").option("quote", "").option("emptyValue", "").csv(path)
+        kept.hint("rebalance", MONTH).write.mode("overwrite").option("sep", "\t").option("quote", "")
+        .option("emptyValue", "").partitionBy(MONTH).csv(path)
     )
 
 
@@ -78,22 +99,21 @@ def month_slice(rows: DataFrame, month: int) -> DataFrame:
     return rows.where(F.col("dt").between(*month_bounds(month)))
 
 
-def export_month(rows: DataFrame, month: int, keep: Column, columns: list[str], path: str) -> None:
-    """Distinct projection of one month's valid rows, as TSV."""
-    write_tsv(month_slice(rows, month).where(keep).select(*columns).distinct(), path)
-
-
 def write_packed_chains(packed: DataFrame, path: str) -> None:
-    packed.select(*schemas.PACKED_CHAIN.names).write.mode("overwrite").option(
+    """CSV lines in a folder per city; a large city is split by size."""
+    packed.select(*schemas.PACKED_CHAIN.names, "city").hint("rebalance", "city").write.mode("overwrite").option(
         "escapeQuotes", "false"
-    ).option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    ).option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").option(
+        "nullValue", CSV_NULL
+    ).partitionBy("city").csv(path)
 
 
 def read_packed_chains(spark: SparkSession, path: str) -> DataFrame:
     return (
-        spark.read.schema(schemas.PACKED_CHAIN).option("mode", "FAILFAST")
+        spark.read.schema(T.StructType([*schemas.PACKED_CHAIN.fields, T.StructField("city", T.StringType())]))
+        .option("mode", "FAILFAST")
         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-        .csv(path)
+        .option("nullValue", CSV_NULL).csv(path)
     )
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from curbwise.operators import publish, recommend, spots
-from curbwise.plans import mine
+from curbwise.plans import merge, mine
 from curbwise.session import staged_path
 from curbwise.sources import schemas, tables
 from scripts.check_oracles import TABLES, differences
@@ -66,11 +66,11 @@ def test_same_result_for_any_partitioning(spark):
     assert seen[0] == seen[1]
 
 
-def test_long_cooccurrence_lists_continue_on_further_lines(spark, monkeypatch):
-    monkeypatch.setattr(spots, "SPOTS_PER_LINE", 2)
+def test_packed_lines_hold_every_spot_in_its_rough_cell(spark):
     chains = given.chains(spark, SMALL)
     packed = spots.packed_chains(chains)
-    assert packed.count() > chains.points.count()
+    assert packed.count() == packed.select("city", "exp_geohash", F.left("cooccurs", F.lit(6))).distinct().count()
+    assert packed.select("city", "exp_geohash").distinct().count() == chains.points.count()
     candidates, shared = recommend.unpacked_candidates(packed)
     assert candidates.count() == recommend.candidate_rows(chains).count()
     listed = packed.select("exp_geohash", F.explode(F.split("cooccurs", "\t")).alias("s")).where("s <> ''")
@@ -81,8 +81,13 @@ def test_long_cooccurrence_lists_continue_on_further_lines(spark, monkeypatch):
 
 
 def test_empty_day_fails(spark):
-    with pytest.raises(tables.EmptyDayError):
-        tables.require_rows(given.demo(spark, SMALL, "order").where("dt = 19990101"), "19990101")
+    orders, ext = given.demo(spark, SMALL, "order"), given.demo(spark, SMALL, "order_ext")
+    path = staged_path(spark, "gated")
+    merge.merge_days_to_table(orders, ext, 20170115, 20170116, path)
+    before = tables.read_positions(spark, path).count()
+    with pytest.raises(tables.EmptyDayError, match="no records for 20170116$"):
+        merge.merge_days_to_table(orders.where("dt <> 20170116"), ext, 20170115, 20170117, path)
+    assert tables.read_positions(spark, path).count() == before > 0
 
 
 def test_bad_number_in_tsv_fails(spark):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -73,22 +74,19 @@ def _exported(spark: SparkSession, sf: str) -> str:
 
 
 @query("S2", f"SELECT DISTINCT dt, {o.ORDER_COLUMNS} FROM fx_order WHERE {o.VALID_ORDER}"
-       " AND passenger_name NOT LIKE '%测试%' AND dt BETWEEN 20170201 AND 20170231")
+       " AND passenger_name NOT LIKE '%测试%'")
 def tsv_scan(spark: SparkSession, sf: str) -> DataFrame:
-    path = staged_path(spark, "export")
-    tables.export_month(
-        given.demo(spark, sf, "order"), 201702, orders.valid_order() & orders.real_passenger(),
-        schemas.ORDER_EXPORT.names, path,
-    )
-    return tables.read_tsv(spark, path, schemas.ORDER_EXPORT)
+    return tables.read_tsv_months(spark, f"{_exported(spark, sf)}/orders", schemas.ORDER_EXPORT, given.MONTHS)
 
 
-@query("S3", f"SELECT DISTINCT dt, dest_city, service_order_id, {o.EXT_COLUMNS} FROM fx_order_ext"
-       f" WHERE {o.VALID_EXT} AND dt BETWEEN 20170301 AND 20170331")
+@query("S3", f"SELECT DISTINCT dt, dest_city, service_order_id, {o.EXT_COLUMNS}, dt // 100 AS month FROM fx_order_ext"
+       f" WHERE {o.VALID_EXT}")
 def tsv_month_export(spark: SparkSession, sf: str) -> DataFrame:
-    path = staged_path(spark, "export")
-    tables.export_month(given.demo(spark, sf, "order_ext"), 201703, orders.valid_ext(), schemas.EXT_EXPORT.names, path)
-    return tables.read_tsv(spark, path, schemas.EXT_EXPORT)
+    """Each row with the month of the folder it was exported to."""
+    path = f"{_exported(spark, sf)}/ext"
+    return reduce(DataFrame.union, [
+        tables.read_tsv_months(spark, path, schemas.EXT_EXPORT, [m]).withColumn("month", F.lit(m)) for m in given.MONTHS
+    ])
 
 
 @query("S4", f"SELECT {_POSITION_KEYS} FROM positions")
@@ -101,21 +99,29 @@ def day_partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_positions(spark, path).select(*_POSITION_COLS)
 
 
-@query("S5", "SELECT p.exp_geohash, p.exp_lat, p.exp_lng, len(string_split(arounds, chr(9))) AS around_spots,"
-       " len(string_split(cooccurs, chr(9))) AS cooccur_spots FROM points p"
-       " JOIN (SELECT city, rough, string_agg(spot, chr(9)) AS arounds FROM around GROUP BY ALL) a"
-       " ON p.city = a.city AND p.exp_rough = a.rough"
-       " JOIN (SELECT city, exp_geohash, string_agg(spot, chr(9)) AS cooccurs FROM cooccur GROUP BY ALL) c"
-       " ON p.city = c.city AND p.exp_geohash = c.exp_geohash")
-def chain_csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+_PACKED = "spot || ':' || CAST(cnt AS VARCHAR) || ':' || CAST(lat AS VARCHAR) || ':' || CAST(lng AS VARCHAR)"
+
+#: A line for each point and rough cell of its co-occurring spots, its own cell always among them.
+_PACKED_LINES = (
+    "SELECT p.city, p.exp_geohash, p.exp_lat, p.exp_lng, CASE WHEN k.rough = p.exp_rough THEN coalesce(a.arounds, '')"
+    " ELSE '' END AS arounds, coalesce(k.cooccurs, '') AS cooccurs FROM points p JOIN (SELECT city, exp_geohash, rough,"
+    " string_agg(item, chr(9) ORDER BY item) AS cooccurs FROM (SELECT city, exp_geohash, left(spot, 6) AS rough,"
+    f" {_PACKED} AS item FROM cooccur UNION ALL SELECT city, exp_geohash, exp_rough, NULL FROM points) GROUP BY ALL) k"
+    " ON p.city = k.city AND p.exp_geohash = k.exp_geohash LEFT JOIN (SELECT city, rough,"
+    f" string_agg({_PACKED}, chr(9) ORDER BY {_PACKED}) AS arounds FROM around GROUP BY ALL) a"
+    " ON p.city = a.city AND p.exp_rough = a.rough"
+)
+
+
+def _packed_file(spark: SparkSession, sf: str) -> DataFrame:
     path = staged_path(spark, "chains-csv")
     tables.write_packed_chains(spots.packed_chains(given.chains(spark, sf)), path)
-    back = tables.read_packed_chains(spark, path)
-    return back.select(
-        "exp_geohash", "exp_lat", "exp_lng",
-        F.size(F.split("arounds", "\t")).cast("bigint").alias("around_spots"),
-        F.size(F.split("cooccurs", "\t")).cast("bigint").alias("cooccur_spots"),
-    )
+    return tables.read_packed_chains(spark, path)
+
+
+@query("S5", _PACKED_LINES)
+def chain_csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    return _packed_file(spark, sf)
 
 
 _FLAT = ("SELECT city, startPos, radius, num, rank, id, lat6 AS lat, lng6 AS lng, score, count, ext,"
@@ -180,11 +186,12 @@ def documents_json_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return _docs_flat(tables.read_json_lines(spark, path, docs.schema))
 
 
-@query("S10", f"SELECT dt, count(*) AS valid_orders FROM fx_order WHERE {o.VALID_ORDER} AND dt BETWEEN 20170101 AND"
-       " 20170107 GROUP BY dt")
+@query("S10", f"SELECT dt, count(*) AS valid_orders FROM fx_order WHERE {o.VALID_ORDER} GROUP BY dt")
 def nonempty_day_gate(spark: SparkSession, sf: str) -> DataFrame:
-    days = given.demo(spark, sf, "order").where(F.col("dt").between(20170101, 20170107) & orders.valid_order())
-    return tables.require_rows(days, "20170101 to 20170107").groupBy("dt").agg(F.count(F.lit(1)).alias("valid_orders"))
+    valid = given.demo(spark, sf, "order").where(orders.valid_order())
+    # The demo months have 28 days each.
+    passed = [tables.require_days(valid, month * 100 + 1, month * 100 + 28) for month in given.MONTHS]
+    return reduce(DataFrame.union, passed).groupBy("dt").agg(F.count(F.lit(1)).alias("valid_orders"))
 
 
 # ---------------------------------------------------------------- projections and filters
@@ -839,13 +846,7 @@ def encoded_orders(spark: SparkSession, sf: str) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("orders"))
 
 
-_PACKED = "spot || ':' || CAST(cnt AS VARCHAR) || ':' || CAST(lat AS VARCHAR) || ':' || CAST(lng AS VARCHAR)"
-
-
-@query("F11", f"SELECT p.city, p.exp_geohash, p.exp_lat, p.exp_lng, a.arounds, c.cooccurs FROM points p JOIN (SELECT city,"
-       f" rough, string_agg({_PACKED}, chr(9) ORDER BY {_PACKED}) AS arounds FROM around GROUP BY ALL) a ON p.city = a.city"
-       f" AND p.exp_rough = a.rough JOIN (SELECT city, exp_geohash, string_agg({_PACKED}, chr(9) ORDER BY {_PACKED})"
-       " AS cooccurs FROM cooccur GROUP BY ALL) c ON p.city = c.city AND p.exp_geohash = c.exp_geohash")
+@query("F11", _PACKED_LINES)
 def chain_pack(spark: SparkSession, sf: str) -> DataFrame:
     return spots.packed_chains(given.chains(spark, sf))
 
@@ -1029,8 +1030,8 @@ def recommended_spots(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("E4", _FLAT)
 def recommended_spots_from_packed_chains(spark: SparkSession, sf: str) -> DataFrame:
-    packed = spots.packed_chains(given.chains(spark, sf))
-    return _flat(mine.recommend_packed(packed, given.RUN_EPOCH))
+    """Mined from the written chain file."""
+    return _flat(mine.recommend_packed(_packed_file(spark, sf), given.RUN_EPOCH))
 
 
 @query("E5", "SELECT city, startPos, regeo, rank, id, name FROM named")
