@@ -94,6 +94,18 @@ def test_toxicity(spark, odd_docs, no_docs, few_labels):
     assert nothing == 0.0 and toxicity.harmless(no_docs, nothing).count() == 0
 
 
+def test_a_rare_word_is_known_by_its_stem():
+    left = np.array([[9.0, 9.0], [40.0, 5.0], [0.0, 0.0]])
+    model = toxicity.Model(
+        [b"plain", b"scumbag"], left, np.empty(0, np.int64), np.empty((0, 2)), ["plain", "scumb", "\u00e9t\u00e9"],
+        np.array([[400.0, 50.0], [1.0, 30.0], [8.0, 1.0]]),
+    )
+    assert model.evidence([b"scumbaggery"]) > 0.01 and model.evidence([b"scumbag"]) > 0.01
+    # Words that are relatively more frequent in ordinary text speak for it, a little.
+    assert -0.02 < model.evidence(["\u00e9t\u00e9".encode()]) < 0 and -0.02 < model.evidence([b"plain"]) < 0
+    assert model.evidence([b"neverseen"]) == model.evidence([]) == 0.0
+
+
 def test_languages(spark, odd_docs, no_docs):
     docs = table(spark, "/root/testdata/sf0.01", "documents").withColumn("held", fold(F.col("doc_id"), 4) == 2)
     found = languages.identify(docs, languages.fit(docs)).join(docs, "doc_id").where("held").collect()
