@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from curbwise.llm import languages, near_dups, toxicity
-from curbwise.llm.batches import fold, table
+from curbwise.llm.batches import fold, table, words_of
 from curbwise.llm.components import components
 
 SMALL = "/root/testdata/sf0.001"
@@ -106,6 +106,44 @@ def test_a_rare_word_is_known_by_its_stem():
     assert model.evidence([b"neverseen"]) == model.evidence([]) == 0.0
 
 
+def test_toxicity_counts_every_ngram(spark, monkeypatch):
+    rows = []
+    for i in range(300):
+        words = [f"w{(i * 7 + k * k) % 211}" for k in range(20)] + ([f"scum{i % 9}", "vile"] if i % 3 == 0 else [])
+        rows.append((i, " ".join(words), int(i % 3 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    texts = [(words_of(text.encode()), toxic) for _, text, toxic in rows]
+    ones, twos = [Counter(), Counter()], [Counter(), Counter()]
+    for words, toxic in texts:
+        ones[toxic].update(words)
+        twos[toxic].update(zip(words, words[1:]))
+    both = ones[0] + ones[1]
+    vocabulary = sorted(word for word in both if both[word] >= 3)
+    place = {word: at + 1 for at, word in enumerate(vocabulary)}
+    left = np.zeros((len(place) + 1, 2))
+    for c in (0, 1):
+        for _, second in twos[c]:
+            left[place.get(second, 0), c] += 1
+    pairs = sorted((place[a] * len(left) + place[b], twos[0][a, b], twos[1][a, b]) for a, b in twos[0] + twos[1]
+                   if a in place and b in place and twos[0][a, b] + twos[1][a, b] >= 2)
+    keys, counts = np.array([p[0] for p in pairs]), np.array([p[1:] for p in pairs], float)
+    stems = sorted({word[:5].decode() for word in both})
+    stem_counts = np.array([[sum(n for w, n in ones[c].items() if w[:5].decode() == s) for c in (0, 1)] for s in stems], float)
+    plain = toxicity.Model(vocabulary, left, keys, counts, stems, stem_counts)
+    evidence = toxicity.evidence_table(docs).cache()
+    seen = []
+    for local in (10**6, 200, 0):  # all broadcast, some joined, all joined
+        monkeypatch.setattr(toxicity, "LOCAL", local)
+        model = toxicity._split(evidence)
+        assert (model.others is None) == (local == 10**6)
+        found = toxicity.with_evidence(docs.select(F.col("doc_id").alias("doc"), "text"), model).collect()
+        seen.append({r.doc: (r.evidence, r.n_words) for r in found})
+        assert len(found) == len(rows)
+    assert seen[0] == seen[1] == seen[2]
+    for (doc, _, _), (words, _) in zip(rows, texts):
+        assert abs(seen[0][doc][0] - plain.evidence(words)) < 1e-7 and seen[0][doc][1] == len(words)
+
+
 def test_languages(spark, odd_docs, no_docs):
     docs = table(spark, "/root/testdata/sf0.01", "documents").withColumn("held", fold(F.col("doc_id"), 4) == 2)
     found = languages.identify(docs, languages.fit(docs)).join(docs, "doc_id").where("held").collect()
