@@ -4,10 +4,13 @@ Patterns propose spans; Luhn (cards) and mod-97 (IBANs) confirm them; words
 nearby raise or lower the score of the rest. The four base kinds (email, ip,
 card, phone) are always reported when they pass their checks. The method adds:
 
-- ``iban``: two letters, two digits and 11 to 30 letters or digits, passing mod-97;
-- ``card`` inside a longer row of digit groups: a group of 13 to 19 digits that
-  passes Luhn where a context word stands nearby, so that adjacent numbers are
-  not lost;
+- ``iban``: two letters, two digits and 11 to 30 letters or digits, passing mod-97
+  at some group end: at the country's length if it is known and passes, else at
+  the last end that does;
+- ``card`` inside a longer row of digit groups: any run of whole groups with 13 to
+  19 digits in all that passes Luhn where a context word stands nearby, so that
+  adjacent numbers are not lost. Of overlapping runs a single group goes first,
+  then the more usual length (``CARD_LENGTHS``), then the leftmost;
 - ``ssn``: ddd-dd-dddd only with a context word nearby.
 
 All patterns run in linear time: each starts only where a run of its characters
@@ -47,9 +50,24 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+_IBAN_REST = re.compile(r"(?: ?[A-Z0-9]){1,30}")
+_GROUP_END = re.compile(r"[A-Z0-9](?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-_GROUP = re.compile(r"(?<![0-9])[0-9]{13,19}(?![0-9])")
+_DIGITS = re.compile("[0-9]++")
+
+#: Digits of a card, the more usual numbers first.
+CARD_LENGTHS = (16, 15, 14, 19, 13, 18, 17)
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+    "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22,
+    "IL": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LI": 21, "LT": 20, "LU": 20, "LV": 21,
+    "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28,
+    "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TN": 24,
+    "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
 
 Span = tuple[str, int, int, float]
 
@@ -116,19 +134,61 @@ def context_score(text: str, start: int, end: int, kind: str, prior: float) -> f
     return max(0.0, min(1.0, score - 0.4 * any(word in around for word in AGAINST_WORDS)))
 
 
+def cards_within(text: str, start: int, end: int) -> list[Span]:
+    """Runs of whole digit groups of a row that are cards by length, Luhn and context, none overlapping."""
+    groups = [(m.start(), m.end()) for m in _DIGITS.finditer(text, start, end)]
+    choices = []
+    for first in range(len(groups)):
+        digits = ""
+        for last in range(first, len(groups)):
+            a, b = groups[last]
+            if len(digits) + b - a > 19:
+                break
+            digits += text[a:b]
+            if len(digits) >= 13 and luhn(digits):
+                at, to = groups[first][0], b
+                score = context_score(text, at, to, "card", 0.3)
+                if score >= THRESHOLD:
+                    choices.append((last > first, CARD_LENGTHS.index(len(digits)), first, last, score))
+    taken, kept = set(), []
+    for _, _, first, last, score in sorted(choices):
+        if taken.isdisjoint(range(first, last + 1)):
+            taken.update(range(first, last + 1))
+            kept.append(("card", groups[first][0], groups[last][1], score))
+    return kept
+
+
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Spans that pass mod-97 at a group end; the search goes on right after each."""
+    found, floor = [], 0
+    for m in _IBAN.finditer(text):
+        if m.start() < floor:
+            continue
+        stop = _IBAN_REST.match(text, m.end()).end()
+        good = {}
+        for last in _GROUP_END.finditer(text, m.end()):
+            if last.end() > stop:
+                break
+            code = text[m.start():last.end()].replace(" ", "")
+            if 15 <= len(code) <= 34 and mod97(code):
+                good[len(code)] = last.end()
+        if good:
+            floor = good.get(IBAN_LENGTHS.get(m[0][:2]), max(good.values()))
+            found.append((m.start(), floor))
+    return found
+
+
 def added_spans(text: str, base: list[Span]) -> list[Span]:
     """Spans beyond the base kinds whose score reaches the threshold."""
     if not _DIGIT.search(text):
         return []
-    cards = [(a, b) for kind, a, b, _ in base if kind == "card"]
+    cards = {(a, b) for kind, a, b, _ in base if kind == "card"}
     found: list[Span] = []
-    for m in _GROUP.finditer(text):
-        if luhn(m[0]) and not any(a <= m.start() and m.end() <= b for a, b in cards):
-            found.append(("card", m.start(), m.end(), context_score(text, m.start(), m.end(), "card", 0.3)))
-    for m in _IBAN.finditer(text):
-        code = m[0].replace(" ", "")
-        if 15 <= len(code) <= 34 and mod97(code):
-            found.append(("iban", m.start(), m.end(), context_score(text, m.start(), m.end(), "iban", 0.8)))
+    for m in _CARD.finditer(text):
+        if (m.start(), m.end()) not in cards:
+            found += cards_within(text, m.start(), m.end())
+    for start, end in ibans(text):
+        found.append(("iban", start, end, context_score(text, start, end, "iban", 0.8)))
     for m in _SSN.finditer(text):
         found.append(("ssn", m.start(), m.end(), context_score(text, m.start(), m.end(), "ssn", 0.2)))
     return [span for span in found if span[3] >= THRESHOLD]

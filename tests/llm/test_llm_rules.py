@@ -64,6 +64,25 @@ def test_added_spans_need_checksum_and_context():
     assert pii.redact_text("mail a@b.co now", pii.find_spans("mail a@b.co now")[1]) == "mail [EMAIL] now"
 
 
+@pytest.mark.parametrize("text, kind, spans", [
+    ("DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "iban", ["DE89 3704 0044 0532 0130 00"]),
+    ("DE89370400440532013000 2024", "iban", ["DE89370400440532013000"]),
+    ("GB82 WEST 1234 5698 7654 32 A bank", "iban", ["GB82 WEST 1234 5698 7654 32"]),
+    ("AB12 DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32", "iban",
+     ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]),
+    ("DE89370400440532013000x", "iban", []),
+    ("cards 4111 1111 1111 1111 5500 0000 0000 0004", "card", ["4111 1111 1111 1111", "5500 0000 0000 0004"]),
+    ("card 77 4111 1111 1111 1111", "card", ["4111 1111 1111 1111"]),
+    ("amex 3782 822463 10005", "card", ["3782 822463 10005"]),
+    ("77 4111 1111 1111 1111", "card", []),
+])
+def test_added_spans_try_every_group_end(text, kind, spans):
+    found = pii.find_spans(text)[1]
+    assert [text[a:b] for k, a, b, _ in found if k == kind] == spans
+    clean = pii.redact_text(text, found)
+    assert not any(span in clean for span in spans)
+
+
 def test_pii_odd_rows(odd_docs, no_docs):
     rows = {r.doc_id: r for r in pii.digest(pii.detect(odd_docs.select("doc_id", "text"))).collect()}
     assert (rows[9].n_email, rows[9].n_phone, rows[5].spans) == (1, 1, "")
