@@ -8,7 +8,11 @@ window holds a whole occurrence. With the least share of a template that counts
 0.125 or more; bands are single hashes, and with 64 of them the chance that
 none collides is below (1 - 0.125) ** 64 = 2e-4. A colliding window retrieves
 the template, and the exact share of the template's runs found in the window's
-neighbourhood decides, on the words themselves.
+neighbourhood decides, on the words themselves. Besides the share, a run with
+each distinguishing wording of the licence (``MARKS``: its version, its name) must
+be found, so that a sibling's text does not count. Of matches of different
+licences that lie mostly in each other the best share is reported, then the
+widest; the opening of the BSD licences is BSD-3 where its third clause follows.
 
 Window minima come from block minima, so every run is hashed once per band
 whatever the number of lengths. Templates are a short list given by the caller.
@@ -59,6 +63,37 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
 
+_FREE = """{0} you can redistribute it and/or modify it under the terms of the GNU {1} General Public License as
+    published by the Free Software Foundation{2} either version {3} of the License, or (at your option) any later version"""
+TEMPLATES += (
+    ("GPL-2.0", "licensed under the GNU General Public License, version 2"),
+    ("GPL-2.0", _FREE.format("This program is free software;", "", ";", "2")),
+    ("LGPL-2.1", "licensed under the GNU Lesser General Public License, version 2.1"),
+    ("LGPL-2.1", _FREE.format("This library is free software;", "Lesser", ";", "2.1")),
+    ("LGPL-3.0", "licensed under the GNU Lesser General Public License, version 3"),
+    ("LGPL-3.0", _FREE.format("This library is free software:", "Lesser", ",", "3")),
+    ("AGPL-3.0", "licensed under the GNU Affero General Public License, version 3"),
+    ("AGPL-3.0", _FREE.format("This program is free software:", "Affero", ",", "3")),
+    ("MPL-1.1", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1"),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1"),
+    ("BSD-3-Clause", """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+        promote products derived from this software without specific prior written permission"""),
+    ("CC0-1.0", "Licensed under CC0 1.0 Universal"),
+    ("CC0-1.0", """To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring
+        rights to this software to the public domain worldwide"""),
+)
+
+#: Wordings without which a text is not of the licence, where a template has them.
+MARKS = {
+    "Apache-2.0": ("version 2 0",), "CC-BY-4.0": ("attribution 4 0",), "CC-BY-SA-4.0": ("sharealike 4 0", "sa 4 0"),
+    "CC-BY-NC-4.0": ("nc 4 0",), "GPL-2.0": ("gnu general public", "version 2"),
+    "GPL-3.0": ("gnu general public", "version 3"), "LGPL-2.1": ("lesser general public", "version 2 1"),
+    "LGPL-3.0": ("lesser general public", "version 3"), "AGPL-3.0": ("affero general public", "version 3"),
+    "MPL-1.1": ("1 1",), "MPL-2.0": ("v 2 0",), "CC0-1.0": ("cc0 1 0",),
+}
+#: Words between the opening of the BSD licences and the third clause, at most.
+BSD_REACH = 150
+
 Match = tuple[str, float, int, int]
 
 
@@ -78,6 +113,8 @@ class Scanner:
         self.offsets = draw.integers(0, 2**32, BANDS, np.uint32)
         self.known: dict[bytes, int] = {}
         self.templates: list[tuple[str, int, frozenset[tuple[bytes, ...]]]] = []
+        #: Per template, for each of its marks the runs that have it.
+        self.carriers: list[list[frozenset[tuple[bytes, ...]]]] = []
         self.lengths: dict[int, list[int]] = defaultdict(list)
         by_class: dict[int, list[np.ndarray]] = defaultdict(list)
         for name, text in templates:
@@ -90,6 +127,8 @@ class Scanner:
             self.lengths[length].append(len(self.templates))
             by_class[length].append(self.minima(self.hash_runs(words, size)))
             self.templates.append((name, size, frozenset(runs)))
+            carriers = [frozenset(run for run in runs if self.holds(run, mark)) for mark in MARKS.get(name, ())]
+            self.carriers.append([each for each in carriers if each])
         # Per length and band: the templates' minima, and a table over their upper halves.
         self.values = {length: np.stack(rows, axis=1) for length, rows in by_class.items()}
         self.tables = {}
@@ -100,6 +139,11 @@ class Scanner:
             self.tables[length] = table
         self.sizes = sorted({size for _, size, _ in self.templates})
 
+    @staticmethod
+    def holds(run: tuple[bytes, ...], mark: str) -> bool:
+        words = tuple(words_of(mark.encode()))
+        return any(run[at:at + len(words)] == words for at in range(len(run) - len(words) + 1))
+
     def hash_runs(self, words: list[bytes], size: int) -> np.ndarray:
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
@@ -150,7 +194,10 @@ class Scanner:
         name, size, runs = self.templates[template]
         start, end = max(0, first - length // 4), min(len(words), first + length + length // 4 + size - 1)
         places = [at for at in range(start, end - size + 1) if tuple(words[at:at + size]) in runs]
-        share = len({tuple(words[at:at + size]) for at in places}) / len(runs)
+        found = {tuple(words[at:at + size]) for at in places}
+        if any(found.isdisjoint(each) for each in self.carriers[template]):
+            return None
+        share = len(found) / len(runs)
         return (name, share, places[0], places[-1] + size) if share >= CONTAINMENT else None
 
     def scan(self, rows: list[list[bytes]]) -> list[list[Match]]:
@@ -174,13 +221,20 @@ class Scanner:
 
     @staticmethod
     def merged(found: set[Match]) -> list[Match]:
-        """Overlapping matches of one licence become the widest of them."""
+        """Overlapping matches of one licence become the widest of them; of several licences the best stays."""
         kept: list[Match] = []
         for match in sorted(found, key=lambda m: (m[0], m[2], -m[3])):
             if kept and kept[-1][0] == match[0] and match[2] < kept[-1][3]:
                 last = kept.pop()
                 match = (match[0], max(last[1], match[1]), last[2], max(last[3], match[3]))
             kept.append(match)
+        best: list[Match] = []
+        for match in sorted(kept, key=lambda m: (-m[1], m[2] - m[3], m[0])):
+            inside = lambda other: 2 * (min(match[3], other[3]) - max(match[2], other[2]))
+            if all(inside(other) <= min(match[3] - match[2], other[3] - other[2]) for other in best):
+                best.append(match)
+        thirds = [m[2] for m in best if m[0] == "BSD-3-Clause"]
+        kept = [m for m in best if m[0] != "BSD-2-Clause" or not any(0 <= at - m[3] <= BSD_REACH for at in thirds)]
         return sorted(kept, key=lambda m: (m[2], m[0], m[3]))
 
 

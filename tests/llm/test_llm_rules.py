@@ -133,6 +133,22 @@ def test_urls(spark):
     assert urls.judge(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("text, names", [
+    ("licensed under the GNU General Public License, version 2", ["GPL-2.0"]),
+    ("licensed under the GNU General Public License, version 3", ["GPL-3.0"]),
+    ("licensed under the GNU General Public License, version 1", []),
+    (licenses._FREE.format("This program is free software;", "", ";", "2"), ["GPL-2.0"]),
+    (licenses._FREE.format("This library is free software;", "Lesser", ";", "2.1"), ["LGPL-2.1"]),
+    (licenses._FREE.format("This program is free software:", "Affero", ",", "3"), ["AGPL-3.0"]),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1", ["MPL-1.1"]),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", ["MPL-2.0"]),
+    (dict(licenses.TEMPLATES)["BSD-2-Clause"] + " x" * 90 + " " + dict(licenses.TEMPLATES)["BSD-3-Clause"], ["BSD-3-Clause"]),
+])
+def test_licence_versions_are_told_apart(text, names):
+    found = licenses.Scanner().scan([words_of(f"some text before {text} and after".encode())])[0]
+    assert [m[0] for m in found] == names
+
+
 def test_licenses(spark, odd_docs, no_docs):
     scanner = licenses.Scanner()
     filler = [f"w{i}".encode() for i in range(3000)]
