@@ -17,7 +17,8 @@ one class uses clearly more often moves the score.
 A toxic document is ordinary text with some toxic expressions, so the toxic
 model is mixed with the ordinary one (``MIXTURE``); the difference of the two
 log-likelihoods, normalised by length and by its square root, goes through a
-logistic curve fitted on labelled documents of another fold than the counts.
+logistic curve fitted on labelled documents of another fold than the counts, or
+on the counted ones if that fold has none.
 
 All labelled training rows are counted, in Spark, and nothing that is counted is
 cut by number: every word seen at least ``LEAST_WORD`` times in labelled text,
@@ -250,7 +251,8 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int = 0)
     curve_part = (held_out + 1) % modulus
     counted = rows.where(F.col("part") != curve_part)
     model = _split(stage(evidence_table(counted), "toxic-evidence"))
-    _calibrate(model, rows.where(F.col("part") == curve_part))
+    curve = rows.where(F.col("part") == curve_part)
+    _calibrate(model, counted if curve.isEmpty() else curve)
     return model
 
 

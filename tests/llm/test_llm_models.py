@@ -106,6 +106,13 @@ def test_a_rare_word_is_known_by_its_stem():
     assert model.evidence([b"neverseen"]) == model.evidence([]) == 0.0
 
 
+def test_toxicity_without_rows_for_the_curve(spark):
+    rows = [(i, "plain words here" + (" vile scum" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").where(fold(F.col("doc_id"), 5) > 1)
+    model = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert 0 < toxicity.harmless(docs, model).count() < docs.count()
+
+
 def test_toxicity_counts_every_ngram(spark, monkeypatch):
     rows = []
     for i in range(300):
