@@ -1,4 +1,4 @@
-"""The ten registered queries, each its operator over its whole table, and their DuckDB statements."""
+"""The thirteen registered queries, each its operator over its whole table, and their DuckDB statements."""
 
 from __future__ import annotations
 
@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbwise.llm import (
-    bpe, decontaminate, languages, licenses, near_dups, oracles, pii, quality, token_files, toxicity, urls,
+    alignment, bpe, decontaminate, languages, licenses, near_dups, oracles, packing, periodic_runs, pii, quality,
+    token_files, toxicity, urls,
 )
 from curbwise.llm.batches import fold, table
 from curbwise.session import stage, staged_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,6 +96,21 @@ def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf: str) -> DataFrame:
+    parts = packing.segments(table(spark, sf, "documents"), VOCABULARY)
+    return packing.pieces(parts, packing.place(parts))
+
+
+def op12_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.summary(alignment.runs(table(spark, sf, "documents"), BYTE_LEVEL, PIECES))
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = periodic_runs.find(docs, rewrite=("doc_id", periodic_runs.planted), drop=("text",))
+    return periodic_runs.digest(found)
+
+
 def _pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -102,7 +120,7 @@ def _pipeline(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_bpe, op2_token_files, op3_quality, op4_pii, op5_decontamination, op6_near_dups, op7_toxicity,
-        op8_url_filter, op9_language_id, op10_licenses,
+        op8_url_filter, op9_language_id, op10_licenses, op11_packing, op12_alignment, op13_periodic_runs,
     )
 } | {"pipeline": _pipeline}
 

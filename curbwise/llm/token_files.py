@@ -5,20 +5,13 @@ library, and written as ORC: the ids as a list of integers (run-length coded by
 the format), a Bloom filter and row indexes on the document id, so a reader can
 skip files, stripes and row groups by id and can split a file at its stripes.
 
-The library spends most of its time on words it has met before. No piece of its
-pattern spans a white space and its normalisation never reaches across one, so
-the encoding of a text is the concatenation of the encodings of its stretches
-between spaces; a worker asks the library for each distinct stretch once and
-keeps a bounded table of answers.
-
 Defined results: a null text is written like an empty one, as the end id alone;
 rows with equal ids are ordered by a hash of their text; null ids come first.
+Extra columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from pathlib import Path
 
@@ -28,83 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from curbwise.llm.batches import arrow_pass, ship_package, stage, texts
+from curbwise.llm.batches import arrow_pass, ship_package, stage
+from curbwise.llm.library import SLICE_BYTES, encoder
 
 END_ID = 2
-#: Stretches a worker remembers before it starts afresh; only speed depends on it.
-KEPT_CHUNKS = 500_000
-#: A Latin word with the marks after it; such words are one piece each.
-_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,]*)")
 #: Rows between entries of the row index, and bytes of a stripe.
 INDEX_STRIDE, STRIPE_BYTES = 10_000, 64 << 20
 
 
-class LibraryEncoder:
-    """The tokenizers library behind a table of the stretches already encoded."""
-
-    def __init__(self, content: bytes) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(content.decode("utf-8"))
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
-
-    def library(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(each.ids, "<i4").tobytes() for each in found]
-
-    def library_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words that are one piece each, from a single text: a piece ends with an end-of-word token."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<i4")
-        stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-        if len(stops) != len(words):
-            return self.library(words)
-        data = ids.tobytes()
-        return [data[4 * a:4 * b] for a, b in zip([0, *stops], stops, strict=False)]
-
-    def learn(self, chunks: set[str]) -> None:
-        """Encode stretches not met before; the letters of a Latin word and the marks after it are looked at apart."""
-        known, direct, split = self.known, [], []
-        match = _WORD.fullmatch
-        for chunk in chunks:
-            found = match(chunk)
-            if found:
-                split.append((chunk, found[1].lower(), found[2]))
-            else:
-                direct.append(chunk)
-        stems = list({stem for _, stem, _ in split}.difference(known))
-        direct += {marks for _, _, marks in split}.difference(known)
-        known.update(zip(direct, self.library(direct), strict=True))
-        known.update(zip(stems, self.library_words(stems), strict=True))
-        known.update((chunk, known[stem] + known[marks]) for chunk, stem, marks in split)
-
-    def encode_all(self, values: list[str], end: list[int]) -> pa.ListArray:
-        tail = np.array(end, "<i4").tobytes()
-        if len(self.known) >= KEPT_CHUNKS:
-            self.known.clear()
-        rows = [value.replace("\n", " ").split(" ") for value in values]
-        self.learn(set().union(*rows).difference(self.known))
-        found = [b"".join(map(self.known.__getitem__, row)) + tail for row in rows]
-        offsets = np.zeros(len(found) + 1, "<i4")
-        np.cumsum([len(ids) // 4 for ids in found], out=offsets[1:])
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")))
-
-
-_encoders: dict[int, LibraryEncoder] = {}
-
-
-def _encoder(content: bytes) -> LibraryEncoder:
-    key = hash(content)
-    if key not in _encoders:
-        _encoders[key] = LibraryEncoder(content)
-    return _encoders[key]
-
-
 def encode(
     df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", end: tuple[int, ...] = (END_ID,)
 ) -> DataFrame:
@@ -113,10 +37,10 @@ def encode(
     shared = df.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())
 
     def make():
-        encoder = _encoder(shared.value)
-        return lambda part: [encoder.encode_all(texts(part, text), list(end))]
+        library = encoder(shared.value)
+        return lambda part: [library.encode_all(part.column(text), list(end))]
 
-    return arrow_pass(df, f"`{ids}` array<int>", make, drop=(text,))
+    return arrow_pass(df, f"`{ids}` array<int>", make, drop=(text,), sized=(text, SLICE_BYTES))
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> None:
