@@ -3,23 +3,28 @@
 Every point is then a core point, so a cluster is a connected component of the
 graph that links points at most ``reach`` metres apart. A label is the
 position (or the id) of the component's first point in id order.
+
+``label_arrays`` and ``label_bounded`` are for groups that geometry keeps small;
+``label_points`` is for groups of any size.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbwise.functions.geo import WGS84_A, WGS84_B, WGS84_F
-from curbwise.operators.nearby import within_metres
+from curbwise.operators.nearby import grid_index, within_metres
 from curbwise.session import ship_package, stage
 
 CLUSTER_REACH_M = 30.0
 
-# Largest group handed to one Python row; larger ones take the shuffled path.
-GROUP_LIMIT = 2048
+# Longest metres of one degree, a little more than anywhere on the ellipsoid.
+_DEGREE_M = 111_700.0
 
 # Candidate pairs examined at once inside a Python worker.
 _PAIR_BUDGET = 2_000_000
@@ -127,7 +132,13 @@ def label_arrays(groups: DataFrame, spots: str, out: str, reach: float = CLUSTER
     return groups.withColumn(out, labels(F.col(f"{spots}.lat"), F.col(f"{spots}.lng")))
 
 
-def _label_small(points: DataFrame, keys: list[str], point_id: str, reach: float) -> DataFrame:
+def label_bounded(
+    points: DataFrame, keys: list[str], point_id: str = "spot", reach: float = CLUSTER_REACH_M
+) -> DataFrame:
+    """Cluster label of every point, for groups of distinct cells inside a few hundred metres.
+
+    Returns keys, the point id and ``cluster``, the smallest id of its cluster.
+    """
     grouped = points.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(point_id, "lat", "lng"))).alias("_spots")
     )
@@ -158,57 +169,71 @@ def neighbour_links(points: DataFrame, keys: list[str], point_id: str, reach: fl
     return forth.unionByName(back)
 
 
-def label_shuffled(
-    points: DataFrame, keys: list[str], point_id: str = "spot", reach: float = CLUSTER_REACH_M
-) -> DataFrame:
-    """Component labels for groups of any size: smallest-id spreading with jumps.
+def _with_node_cell(points: DataFrame, reach: float) -> DataFrame:
+    """Add ``_cell``: a grid cell so small that any two points of it are within reach.
 
-    Each round offers the smallest label around a point to the point and to the
+    A row's columns are as wide as its side nearest to the equator allows.
+    """
+    side = 0.99 * reach / math.sqrt(2)
+    height = side / _DEGREE_M
+    row = grid_index(F.col("lat"), height)
+    widest = F.when(row >= 0, row).otherwise(-row - 1) * height
+    columns = F.greatest(F.ceil(F.cos(F.radians(widest)) * (360.0 * _DEGREE_M / side)), F.lit(1))
+    column = F.least(F.floor((F.col("lng") + 180.0) / 360.0 * columns), columns - 1)
+    return points.withColumn("_cell", row * (1 << 32) + column)
+
+
+def _spread(nodes: DataFrame, links: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, node, cluster): the smallest node of each node's component, by spreading with jumps.
+
+    Each round offers the smallest label around a node to the node and to the
     owner of its present label, then replaces every label by that label's own.
     Offering to owners joins whole clusters at once, so even a long chain takes
     a number of rounds near the logarithm of its length. Rounds are staged
     tables: lineage stays short and a lost executor costs one round at most.
     """
-    nodes = stage(points.select(*keys, point_id, "lat", "lng"), "cluster-nodes")
-    links = stage(neighbour_links(nodes, keys, point_id, reach).drop("distance"), "cluster-links")
-    labels = nodes.select(*keys, point_id, F.col(point_id).alias("cluster"))
+    labels = nodes.select(*keys, "node", F.col("node").alias("cluster"))
     while True:
-        seen = labels.select(*keys, F.col(point_id).alias("other"), F.col("cluster").alias("_near"))
-        lowest = links.join(seen, [*keys, "other"]).groupBy(*keys, point_id).agg(F.min("_near").alias("_near"))
-        joined = labels.join(lowest, [*keys, point_id], "left")
+        seen = labels.select(*keys, F.col("node").alias("other"), F.col("cluster").alias("_near"))
+        lowest = links.join(seen, [*keys, "other"]).groupBy(*keys, "node").agg(F.min("_near").alias("_near"))
+        joined = labels.join(lowest, [*keys, "node"], "left")
         offer = F.least("cluster", "_near").alias("_new")
-        to_self = joined.select(*keys, point_id, F.col("cluster").alias("_old"), offer)
+        to_self = joined.select(*keys, "node", F.col("cluster").alias("_old"), offer)
         to_owner = joined.where(F.col("_near") < F.col("cluster")).select(
-            *keys, F.col("cluster").alias(point_id), F.lit(None).cast("string").alias("_old"), offer
+            *keys, F.col("cluster").alias("node"), F.lit(None).cast(nodes.schema["node"].dataType).alias("_old"), offer
         )
-        spread = stage(to_self.unionByName(to_owner).groupBy(*keys, point_id).agg(
+        spread = stage(to_self.unionByName(to_owner).groupBy(*keys, "node").agg(
             F.max("_old").alias("_old"), F.min("_new").alias("_new")
         ), "cluster-spread")
-        owners = spread.select(*keys, F.col(point_id).alias("_new"), F.col("_new").alias("_root"))
-        jumped = spread.join(owners, [*keys, "_new"]).select(
-            *keys, point_id, "_old", F.least("_new", "_root").alias("cluster")
-        )
-        jumped = stage(jumped, "cluster-labels")
-        labels = jumped.select(*keys, point_id, "cluster")
+        owners = spread.select(*keys, F.col("node").alias("_new"), F.col("_new").alias("_root"))
+        jumped = stage(spread.join(owners, [*keys, "_new"]).select(
+            *keys, "node", "_old", F.least("_new", "_root").alias("cluster")
+        ), "cluster-labels")
+        labels = jumped.select(*keys, "node", "cluster")
         if jumped.where(F.col("_old") != F.col("cluster")).isEmpty():
             return labels
 
 
 def label_points(
-    points: DataFrame, keys: list[str], point_id: str = "spot",
-    reach: float = CLUSTER_REACH_M, group_limit: int = GROUP_LIMIT,
+    points: DataFrame, keys: list[str], point_id: str = "spot", reach: float = CLUSTER_REACH_M
 ) -> DataFrame:
-    """Cluster label of every point within its group; groups may have any size.
+    """Cluster label of every point within its group; groups may have any size and density.
 
     Returns keys, the point id and ``cluster``, the smallest id of its cluster.
-    Small groups are labelled in Arrow batches, larger ones by shuffles.
+    Points of a grid cell whose diagonal is within reach are one node without
+    looking at any pair; only pairs in different cells are tested, equal
+    places once, and labels spread over the nodes. The plan is the same at
+    every size.
     """
-    points = stage(points.select(*keys, point_id, "lat", "lng"), "cluster-input")
-    sizes = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    large = sizes.where(F.col("_size") > group_limit).drop("_size")
-    if large.isEmpty():
-        return _label_small(points, keys, point_id, reach)
-    small = points.join(large, keys, "left_anti")
-    return _label_small(small, keys, point_id, reach).unionByName(
-        label_shuffled(points.join(large, keys, "left_semi"), keys, point_id, reach)
-    )
+    placed = _with_node_cell(points.select(*keys, point_id, "lat", "lng"), reach)
+    firsts = placed.groupBy(*keys, "_cell").agg(F.min(point_id).alias("node"))
+    placed = stage(placed.join(firsts, [*keys, "_cell"]).drop("_cell"), "cluster-points")
+    places = placed.groupBy(*keys, "lat", "lng").agg(F.min("node").alias("node"))
+    others = places.select(*keys, F.col("lat").alias("other_lat"), F.col("lng").alias("other_lng"), F.col("node").alias("other"))
+    near = within_metres(
+        places, others, reach, keys, right_at=("other_lat", "other_lng"), condition=F.col("node") < F.col("other")
+    ).select(*keys, "node", "other").distinct()
+    near = stage(near, "cluster-links")
+    links = near.unionByName(near.select(*keys, F.col("other").alias("node"), F.col("node").alias("other")))
+    labels = _spread(placed.select(*keys, "node").distinct(), links, keys)
+    return placed.join(labels, [*keys, "node"]).select(*keys, point_id, "cluster")

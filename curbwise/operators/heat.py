@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from curbwise.functions import cells
 from curbwise.functions.geo import FAR_STEPS, haversine_m, with_ellipsoid_m
 from curbwise.functions.measures import describe
-from curbwise.functions.text import name_or_fallback
-from curbwise.operators.cluster import label_points
-from curbwise.operators.naming import searched_names
+from curbwise.operators.cluster import label_bounded
+from curbwise.operators.naming import searched_names, with_address_names
 from curbwise.operators.nearby import within_metres
 from curbwise.operators.recommend import cluster_centres
 from curbwise.operators.spots import upper_quartile
+from curbwise.session import stage
 
 DEFAULT_LEVEL = 6
 DEFAULT_RADIUS_M = 200.0
@@ -59,9 +59,13 @@ def request_statistics(candidates: DataFrame) -> DataFrame:
 
 
 def clustered(candidates: DataFrame) -> DataFrame:
-    """Per request, candidates merged into weighted cluster centres."""
+    """Per request, candidates merged into weighted cluster centres.
+
+    Candidates are distinct cells inside the request's radius, so a group is
+    bounded by geometry.
+    """
     place = ["request_id", "city", "req_lat", "req_lng"]
-    labels = label_points(candidates, ["request_id"], "geohash")
+    labels = label_bounded(candidates, ["request_id"], "geohash")
     rows = candidates.withColumnRenamed("count", "cnt").join(labels, ["request_id", "geohash"])
     centres = cluster_centres(rows, place).withColumnsRenamed({"cnt": "count", "cluster": "geohash"})
     return with_ellipsoid_m(centres, "req_lat", "req_lng", "lat", "lng", "distance", FAR_STEPS)
@@ -75,11 +79,13 @@ def hottest(points: DataFrame, top: int | None = DEFAULT_TOP) -> DataFrame:
 
 
 def named(points: DataFrame, pois: DataFrame, addresses: DataFrame) -> DataFrame:
-    """Points with the best name around them, else their cell's address."""
-    places = points.select("city", "lat", "lng").distinct()
-    rows = points.join(searched_names(places, pois), ["city", "lat", "lng"], "left")
-    rows = cells.with_geohash(rows, "lat", "lng", "cell", cells.SPOT_PRECISION).join(addresses, "cell", "left")
-    return rows.withColumn("name", name_or_fallback(F.col("name"), F.col("address"))).drop("cell", "address")
+    """Points with the best name around them, else that of the nearest address in reach.
+
+    Names are searched once per place, however many requests show it.
+    """
+    places = stage(points.select("city", "lat", "lng").distinct(), "heat-places")
+    names = places.join(searched_names(places, pois), ["city", "lat", "lng"], "left")
+    return points.join(with_address_names(names, addresses), ["city", "lat", "lng"], "left")
 
 
 def annotate_bound(points: DataFrame, limit_m: float) -> DataFrame:

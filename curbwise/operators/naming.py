@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curbwise.functions import cells
-from curbwise.functions.cells import SPOT_PRECISION
 from curbwise.functions.text import decorated_name, name_or_fallback, trim_address
-from curbwise.operators.nearby import within_metres
+from curbwise.operators.nearby import nearest_place, within_metres
 from curbwise.session import stage
 
 # Type-code prefixes in order of preference, reach of a preferred
@@ -16,6 +14,8 @@ from curbwise.session import stage
 PREFERRED_TYPES = ("10", "99", "1507", "1505", "1508", "1506", "1504", "1502", "120302", "1903")
 PREFERRED_REACH_M = 50.0
 SEARCH_REACH_M = 300.0
+# Fixed value: reach of the address search, in metres.
+ADDRESS_REACH_M = 1000.0
 
 _UNRANKED = 999
 
@@ -77,16 +77,19 @@ def searched_names(places: DataFrame, pois: DataFrame) -> DataFrame:
     return close.unionByName(best_names(pois_around(lonely, typed), here))
 
 
-def address_by_cell(addresses: DataFrame) -> DataFrame:
-    """One short address per precision-8 cell from located reverse-geocode rows."""
-    located = cells.with_geohash(addresses, "lat", "lng", "cell", SPOT_PRECISION)
-    chosen = located.groupBy("cell").agg(F.min_by(
-        F.struct("formatted_address", "province", F.col("address_city"), "district", "township"), "point_id"
-    ).alias("_a"))
-    return chosen.select("cell", trim_address(
-        F.col("_a.formatted_address"), F.col("_a.province"), F.col("_a.address_city"),
-        F.col("_a.district"), F.col("_a.township"),
-    ).alias("address"))
+def short_addresses(addresses: DataFrame) -> DataFrame:
+    """Located reverse-geocode rows with their short form: (point_id, place_lat, place_lng, address)."""
+    return addresses.select(
+        "point_id", F.col("lat").alias("place_lat"), F.col("lng").alias("place_lng"),
+        trim_address(
+            F.col("formatted_address"), F.col("province"), F.col("address_city"), F.col("district"), F.col("township"),
+        ).alias("address"),
+    )
+
+
+def nearest_addresses(places: DataFrame, addresses: DataFrame, reach: float = ADDRESS_REACH_M) -> DataFrame:
+    """(lat, lng, address, point_id, distance): the nearest address within reach of each distinct place."""
+    return nearest_place(places, short_addresses(addresses), reach, "point_id", ["address", "point_id"])
 
 
 def address_names(points: DataFrame, addresses: DataFrame) -> DataFrame:
@@ -167,28 +170,35 @@ def chosen_names(uses: DataFrame, pois: DataFrame) -> DataFrame:
 
 
 def attach_names(recommendations: DataFrame, names: DataFrame) -> DataFrame:
-    """Recommendations with a name inside every point, joined by point key.
+    """Recommendations with a name inside every point, joined by the point's rank.
 
-    ``names`` has city, startPos, id, name. Coordinates are rounded to six
-    decimals as in the named form.
+    ``names`` has city, startPos, rank, name, a rank once. Ids do not tell the
+    points of a recommendation apart, two of them may share a cell. Coordinates
+    are rounded to six decimals as in the named form.
     """
-    exploded = recommendations.select("city", "startPos", F.posexplode("recomms").alias("_at", "_p"))
-    keyed = exploded.withColumn("id", F.col("_p.id")).join(names, ["city", "startPos", "id"], "left")
-    point = F.struct(
-        "_p.id", F.round("_p.lat", 6).alias("lat"), F.round("_p.lng", 6).alias("lng"),
-        "_p.score", "_p.count", "_p.status", "_p.ext", "_p.tag", "_p.show", "_p.pick", "name",
-    )
-    again = keyed.groupBy("city", "startPos").agg(
-        F.sort_array(F.collect_list(F.struct("_at", point.alias("p")))).alias("_points")
+    lists = names.groupBy("city", "startPos").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("rank").cast("int"), "name"))).alias("_names")
     )
-    return recommendations.drop("recomms").join(again, ["city", "startPos"]).withColumn(
-        "recomms", F.transform("_points", lambda e: e["p"])
-    ).drop("_points")
 
+    def named(point: Column, at: Column) -> Column:
+        rest = ("score", "count", "status", "ext", "tag", "show", "pick")
+        return F.struct(
+            point["id"].alias("id"), F.round(point["lat"], 6).alias("lat"), F.round(point["lng"], 6).alias("lng"),
+            *[point[field].alias(field) for field in rest], F.try_element_at("_names", at + 1).alias("name"),
+        )
 
-def named_points(points: DataFrame, names: DataFrame, addresses: DataFrame, key: Column) -> DataFrame:
-    """Chosen names, with the address of the point's cell where none was found."""
-    keyed = points.join(names, ["city", "startPos", "rank"], "left").withColumn("cell", key)
-    return keyed.join(addresses, "cell", "left").withColumn(
+    joined = recommendations.join(lists, ["city", "startPos"], "left")
+    return joined.withColumn("recomms", F.transform("recomms", named)).drop("_names")
+
+
+def with_address_names(points: DataFrame, addresses: DataFrame) -> DataFrame:
+    """Points (lat, lng, name) with the fallback name, from the nearest address, where they have none.
+
+    Only the places of such points are searched.
+    """
+    found = F.nullif("name", F.lit(""))
+    lonely = points.where(found.isNull())
+    near = nearest_addresses(lonely, addresses).select("lat", "lng", "address")
+    return points.join(near, ["lat", "lng"], "left").withColumn(
         "name", name_or_fallback(F.col("name"), F.col("address"))
-    ).drop("cell", "address")
+    ).drop("address")

@@ -11,7 +11,7 @@ from curbwise.functions.geo import NEAR_STEPS, with_ellipsoid_m
 from curbwise.functions.measures import mean_of_sum, weighted_sum
 from curbwise.functions.text import unpack_chain
 from curbwise.operators.cluster import label_arrays
-from curbwise.operators.nearby import step_radius
+from curbwise.operators.nearby import with_step
 from curbwise.operators.spots import Chains, around_join
 
 # Score smoothing, strategy tag, kinds of points.
@@ -53,10 +53,15 @@ def mark_cooccurring(spots: DataFrame, cooccur: DataFrame) -> DataFrame:
 
 
 def within_step_radius(candidates: DataFrame) -> DataFrame:
-    """Candidates inside the smallest search step that reaches any of them."""
-    measured = with_ellipsoid_m(candidates, "exp_lat", "exp_lng", "lat", "lng", "dist", NEAR_STEPS)
-    nearest = F.min("dist").over(Window.partitionBy(*PLACE))
-    return measured.withColumn("radius", step_radius(nearest)).where(F.col("dist") <= F.col("radius"))
+    """Candidates inside the smallest search step that reaches any of them.
+
+    The step of the nearest candidate is the least of all steps, and a
+    candidate is inside a step if its own is not larger; so no distance is
+    needed beyond the step it falls into.
+    """
+    stepped = with_step(candidates, "exp_lat", "exp_lng", "lat", "lng", "_step").where("_step IS NOT NULL")
+    nearest = F.min("_step").over(Window.partitionBy(*PLACE))
+    return stepped.withColumn("radius", nearest).where(F.col("_step") <= F.col("radius")).drop("_step")
 
 
 def _uneven(n: Column, total: Column, squares: Column) -> Column:

@@ -12,21 +12,35 @@ from curbwise.session import staged_path
 
 DEMO_SQL: dict[str, str] = {}
 
+# One customer in six asks in a far zone, of one kind (t) each: where the nearest
+# pickup is 130, 180, 250, 400 or 700 m away (the last kind with very many spots),
+# or where one pickup has most of the orders.
 DEMO_SQL["order"] = """
 WITH k AS (
   SELECT CAST(o_orderkey AS BIGINT) AS oid, CAST(o_custkey AS BIGINT) AS uid,
-         CAST(o_orderkey % 84 AS BIGINT) AS d, CAST((o_custkey * 7919) % 48 AS BIGINT) AS s
+         CAST(o_orderkey % 84 AS BIGINT) AS d, CAST((o_custkey * 7919) % 48 AS BIGINT) AS s,
+         CASE WHEN o_custkey % 6 = 5 THEN 1 + CAST((o_custkey - 5) / 6 AS BIGINT) % 6 ELSE 0 END AS t
   FROM {orders}),
 m AS (
-  SELECT oid, uid, d,
+  SELECT oid, uid, d, t,
     CASE WHEN uid % 5 < 4 THEN 'bj' ELSE 'sh' END AS city,
-    CASE WHEN uid % 5 < 4 THEN 39900000 ELSE 31200000 END + CAST((s - s % 8) / 8 AS BIGINT) * 2500 AS la,
-    CASE WHEN uid % 5 < 4 THEN 116300000 ELSE 121400000 END + (s % 8) * 3200 AS ln
+    CASE WHEN uid % 5 < 4 THEN 39900000 ELSE 31200000 END
+      + CASE WHEN t = 0 THEN CAST((s - s % 8) / 8 AS BIGINT) * 2500 WHEN t = 5 THEN 66600 ELSE 38600 + t * 5500 END AS la,
+    CASE WHEN uid % 5 < 4 THEN 116300000 ELSE 121400000 END + CASE WHEN t = 0 THEN (s % 8) * 3200 WHEN t = 5 THEN -3300 ELSE s % 3 * 11000 END AS ln
   FROM k),
 v AS (
-  SELECT oid, uid, d, city, la, ln, 0 AS rev FROM m
+  SELECT oid, uid, d, t, city, la, ln, 0 AS rev FROM m
   UNION ALL
-  SELECT oid, uid, d, city, la, ln, 1 AS rev FROM m WHERE oid % 7 = 0)
+  SELECT oid, uid, d, t, city, la, ln, 1 AS rev FROM m WHERE oid % 7 = 0),
+w AS (
+  SELECT oid, uid, d, city, la, ln, rev,
+    CASE t WHEN 0 THEN ((oid * oid) % 29 - 14) * 60 WHEN 1 THEN 1300 + oid % 9 * 20 WHEN 2 THEN 1750 + oid % 9 * 20
+      WHEN 3 THEN oid % 5 * 30 WHEN 4 THEN oid % 7 * 40 WHEN 5 THEN (oid * 7) % 47 * 108 - 2300
+      ELSE CASE WHEN oid % 2 = 0 THEN 0 ELSE (oid % 11 * (oid % 5) - 20) * 20 END END AS north,
+    CASE t WHEN 0 THEN ((oid * oid + uid) % 23 - 11) * 70 WHEN 1 THEN oid % 5 * 40 WHEN 2 THEN oid % 5 * 40
+      WHEN 3 THEN 3100 + oid % 9 * 30 WHEN 4 THEN 4900 + oid % 9 * 30 WHEN 5 THEN 6300 + (oid * 11) % 41 * 100
+      ELSE CASE WHEN oid % 2 = 0 THEN 0 ELSE (oid % 7 * (oid % 13) - 36) * 12 END END AS east
+  FROM v)
 SELECT
   CAST(20170101 + CAST((d - d % 28) / 28 AS BIGINT) * 100 + d % 28 AS INT) AS dt,
   city, oid AS service_order_id, uid AS user_id, oid % 97 AS driver_id,
@@ -40,15 +54,14 @@ SELECT
   CAST(ln + ((oid * 37) % 13 - 6) * 40 AS DOUBLE) / 1000000 AS expect_start_longitude,
   CAST(la + 20000 + oid % 500 AS DOUBLE) / 1000000 AS expect_end_latitude,
   CAST(ln + 30000 + oid % 700 AS DOUBLE) / 1000000 AS expect_end_longitude,
-  CASE WHEN oid % 50 = 11 THEN CAST(0 AS DOUBLE)
-       ELSE CAST(la + ((oid * oid) % 29 - 14) * 60 + rev * 20 AS DOUBLE) / 1000000 END AS start_latitude,
-  CAST(ln + ((oid * oid + uid) % 23 - 11) * 70 AS DOUBLE) / 1000000 AS start_longitude,
+  CASE WHEN oid % 50 = 11 THEN CAST(0 AS DOUBLE) ELSE CAST(la + north + rev * 20 AS DOUBLE) / 1000000 END AS start_latitude,
+  CAST(ln + east AS DOUBLE) / 1000000 AS start_longitude,
   CAST(la + 20100 + oid % 500 AS DOUBLE) / 1000000 AS end_latitude,
   CAST(ln + 30100 + oid % 700 AS DOUBLE) / 1000000 AS end_longitude,
   CASE WHEN oid % 20 = 3 THEN 3 ELSE 7 END AS status,
   CASE WHEN uid % 40 = 5 THEN concat('测试', CAST(uid AS VARCHAR(12))) ELSE concat('p', CAST(uid AS VARCHAR(12))) END AS passenger_name,
   1483228800 + oid + rev * 3600 AS update_time
-FROM v
+FROM w
 """
 
 DEMO_SQL["order_ext"] = """
@@ -106,7 +119,7 @@ FROM {customer}
 DEMO_SQL["request"] = """
 SELECT CAST(c_custkey AS BIGINT) AS request_id,
   CASE WHEN c_custkey % 5 < 4 THEN 'bj' ELSE 'sh' END AS city,
-  CAST(CASE WHEN c_custkey % 5 < 4 THEN 39900000 ELSE 31200000 END + (c_custkey % 6) * 2500 + (c_custkey % 11 - 5) * 40 + CASE WHEN c_custkey % 13 = 0 THEN 500000 ELSE 0 END AS DOUBLE) / 1000000 AS lat,
+  CAST(CASE WHEN c_custkey % 5 < 4 THEN 39900000 ELSE 31200000 END + (c_custkey % 6) * 2500 + (c_custkey % 11 - 5) * 40 + CASE WHEN c_custkey % 13 = 0 THEN 500000 WHEN c_custkey % 7 = 2 THEN 45000 ELSE 0 END AS DOUBLE) / 1000000 AS lat,
   CAST(CASE WHEN c_custkey % 5 < 4 THEN 116300000 ELSE 121400000 END + (c_custkey % 8) * 3200 + (c_custkey % 13 - 6) * 40 AS DOUBLE) / 1000000 AS lng
 FROM {customer}
 """

@@ -52,14 +52,12 @@ def test_all_paths_agree_with_brute_force(spark):
     ]
     want, df = brute(points), frame(spark, points)
     assert labels_of(cluster.label_points(df, ["g"])) == want
-    assert labels_of(cluster.label_shuffled(df, ["g"])) == want
-    # Groups on both sides of the limit.
-    assert labels_of(cluster.label_points(df, ["g"], group_limit=30)) == want
+    assert labels_of(cluster.label_bounded(df, ["g"])) == want
 
 
 def test_long_line_is_one_cluster_after_few_rounds(spark):
     points = [("g", f"{(i * 37) % 101:04d}", 39.9 + i * 25 * METRE, 116.3) for i in range(101)]
-    got = labels_of(cluster.label_shuffled(frame(spark, points), ["g"]))
+    got = labels_of(cluster.label_points(frame(spark, points), ["g"]))
     assert set(got.values()) == {"0000"} and len(got) == 101
 
 

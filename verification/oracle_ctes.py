@@ -190,6 +190,19 @@ def short_address(source: str) -> str:
     )
 
 
+def nearest_address(places: str) -> str:
+    """A subquery (lat, lng, address, point_id): the nearest address within a kilometre of each place, by whole millimetres."""
+    pairs = with_distance(
+        f"(SELECT q.lat, q.lng, a.point_id, a.short, a.lat AS pla, a.lng AS pln FROM {places} q JOIN short_address_rows a"
+        " ON abs(q.lat - a.lat) < 0.0101 AND abs(q.lng - a.lng) < 0.0135)",
+        "lat", "lng", "pla", "pln", "m",
+    )
+    return (
+        "(SELECT lat, lng, b.a AS address, b.i AS point_id FROM (SELECT lat, lng, min({'m': round(m, 3), 'i': point_id, 'a': short}) AS b"
+        f" FROM {pairs} WHERE m <= 1000 GROUP BY lat, lng))"
+    )
+
+
 CTES: dict[str, str] = {
     f"fx_{name}": text.format(orders="orders", part="part", customer="customer", nation="nation")
     for name, text in DEMO_SQL.items()
@@ -345,18 +358,18 @@ CTES |= {
         " LEFT JOIN name_reserve r ON r.city = u.city AND r.lat = u.lat AND r.lng = u.lng"
         " GROUP BY k.city, k.startPos, u.rank)"
     ),
-    "cell_address": (
-        "SELECT cell, short AS address FROM "
-        + short_address(
-            "(SELECT * FROM " + with_geohash("located_address", "lat", "lng", "cell", 8)
-            + " QUALIFY row_number() OVER (PARTITION BY cell ORDER BY point_id) = 1)"
-        )
+    "short_address_rows": f"SELECT * FROM {short_address('located_address')}",
+    "addressless": (
+        "SELECT DISTINCT r.lat6 AS lat, r.lng6 AS lng FROM recs r JOIN name_pick n ON n.city = r.city AND n.startPos = r.startPos"
+        " AND n.rank = r.rank WHERE n.name = '' UNION SELECT DISTINCT exp_lat, exp_lng FROM recs"
     ),
+    "place_address": "SELECT * FROM " + nearest_address("addressless"),
     "named": (
         "SELECT r.*, coalesce(nullif(n.name, ''), coalesce(a.address, '') || '-推荐上车点') AS name,"
         " coalesce(g.address, '') AS regeo FROM recs r JOIN name_pick n"
         " ON n.city = r.city AND n.startPos = r.startPos AND n.rank = r.rank"
-        " LEFT JOIN cell_address a ON a.cell = substr(r.id, 1, 8) LEFT JOIN cell_address g ON g.cell = r.startPos"
+        " LEFT JOIN place_address a ON a.lat = r.lat6 AND a.lng = r.lng6"
+        " LEFT JOIN place_address g ON g.lat = r.exp_lat AND g.lng = r.exp_lng"
     ),
     "info": (
         f"SELECT DISTINCT startPos AS geohash, city, regeo, radius, num, {RUN} AS create_time, {RUN} AS update_time FROM named"

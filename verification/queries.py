@@ -324,7 +324,8 @@ def cooccurring_marks(spark: SparkSession, sf: str) -> DataFrame:
 @query("J6", "SELECT city, exp_geohash, spot, round(dist, 3) AS dist, radius FROM stepped")
 def radius_join(spark: SparkSession, sf: str) -> DataFrame:
     rows = recommend.within_step_radius(recommend.candidate_rows(given.chains(spark, sf)))
-    return rows.select("city", "exp_geohash", "spot", r3("dist"), "radius")
+    measured = geo.with_ellipsoid_m(rows, "exp_lat", "exp_lng", "lat", "lng", "dist", geo.NEAR_STEPS)
+    return measured.select("city", "exp_geohash", "spot", r3("dist"), "radius")
 
 
 @query("J7", "SELECT city, exp_geohash, spot, other, round(d, 3) AS distance FROM links")
@@ -462,12 +463,21 @@ def address_names(spark: SparkSession, sf: str) -> DataFrame:
     return naming.address_names(points, given.addresses(spark, sf))
 
 
+@query("J13", "SELECT q.request_id, coalesce(a.address, '') AS address, coalesce(a.point_id, -1) AS address_id FROM fx_request q"
+       f" LEFT JOIN {o.nearest_address('(SELECT DISTINCT lat, lng FROM fx_request)')} a ON a.lat = q.lat AND a.lng = q.lng")
+def addresses_in_reach(spark: SparkSession, sf: str) -> DataFrame:
+    """The nearest address of any requested place, within a kilometre."""
+    asked = given.demo(spark, sf, "request")
+    near = naming.nearest_addresses(asked, given.located_addresses(spark, sf))
+    return asked.join(near, ["lat", "lng"], "left").select(
+        "request_id", F.coalesce("address", F.lit("")).alias("address"), F.coalesce("point_id", F.lit(-1)).alias("address_id")
+    )
+
+
 @query("J14", "SELECT startPos, city, rank, id, lat6 AS lat, lng6 AS lng, startPos || '/' || id AS name FROM recs")
 def names_attached(spark: SparkSession, sf: str) -> DataFrame:
     recs = given.recommendations(spark, sf)
-    names = recs.select("city", "startPos", F.explode("recomms.id").alias("id")).withColumn(
-        "name", F.concat_ws("/", "startPos", "id")
-    )
+    names = recommend.flattened(recs).select("city", "startPos", "rank", F.concat_ws("/", "startPos", "id").alias("name"))
     return recommend.flattened(naming.attach_names(recs, names)).select(
         "startPos", "city", "rank", "id", "lat", "lng", "name"
     )
@@ -530,13 +540,14 @@ def upper_quartile_cooccur(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("A8", "SELECT city, exp_geohash, spot, cluster FROM labels")
 def cluster_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return cluster.label_points(given.kept(spark, sf), ["city", "exp_geohash"])
+    """A point's kept spots lie in one rough cell: groups bounded by geometry."""
+    return cluster.label_bounded(given.kept(spark, sf), ["city", "exp_geohash"])
 
 
 @query("A8", "SELECT city, exp_geohash, spot, cluster FROM labels")
 def cluster_labels_shuffled(spark: SparkSession, sf: str) -> DataFrame:
-    """The path for very large groups, forced for every group."""
-    return cluster.label_shuffled(given.kept(spark, sf), ["city", "exp_geohash"])
+    """For groups of any size: cells as nodes, labels spread by joins."""
+    return cluster.label_points(given.kept(spark, sf), ["city", "exp_geohash"])
 
 
 @query("A9", "SELECT city, exp_geohash, id, cnt, lat6 AS lat, lng6 AS lng, round(dist, 3) AS dist,"
@@ -1093,9 +1104,9 @@ def _heat_sql(points: str, stats: str, lat: str, lng: str) -> str:
         " coalesce(h.count, -1) AS count, coalesce(round(h.distance, 3), -1) AS distance,"
         " CASE WHEN h.rank IS NOT NULL THEN coalesce(CASE WHEN b.m <= 20 THEN b.raw ELSE b.raw || '附近' END,"
         " coalesce(a.address, '') || '-推荐上车点') END AS name, coalesce(s.n, -1) AS count_count, coalesce(round(s.mean, 6), -1) AS count_mean"
-        f" FROM fx_request q LEFT JOIN {o.with_geohash(hot, 'lat', 'lng', 'cell', 8)} h ON h.request_id = q.request_id"
-        f" LEFT JOIN {best} b ON b.city = h.city AND b.lat = h.lat AND b.lng = h.lng LEFT JOIN cell_address a"
-        f" ON a.cell = h.cell LEFT JOIN (SELECT request_id, count(*) AS n, avg(count) AS mean FROM {stats} GROUP BY ALL) s"
+        f" FROM fx_request q LEFT JOIN {hot} h ON h.request_id = q.request_id"
+        f" LEFT JOIN {best} b ON b.city = h.city AND b.lat = h.lat AND b.lng = h.lng LEFT JOIN"
+        f" {o.nearest_address(f'(SELECT DISTINCT lat, lng FROM {points})')} a ON a.lat = h.lat AND a.lng = h.lng LEFT JOIN (SELECT request_id, count(*) AS n, avg(count) AS mean FROM {stats} GROUP BY ALL) s"
         " ON s.request_id = q.request_id"
     )
 
@@ -1115,7 +1126,7 @@ def _heat_plain(rows: DataFrame) -> DataFrame:
 def heat_query(spark: SparkSession, sf: str) -> DataFrame:
     return _heat_plain(heat_plan.heat_query(
         given.requests(spark, sf), given.spots(spark, sf), given.demo(spark, sf, "poi"),
-        naming.address_by_cell(given.located_addresses(spark, sf)),
+        given.located_addresses(spark, sf),
     ))
 
 
@@ -1123,7 +1134,7 @@ def heat_query(spark: SparkSession, sf: str) -> DataFrame:
 def heat_query_clustered(spark: SparkSession, sf: str) -> DataFrame:
     return _heat_plain(heat_plan.heat_query(
         given.requests(spark, sf), given.spots(spark, sf), given.demo(spark, sf, "poi"),
-        naming.address_by_cell(given.located_addresses(spark, sf)), filter_by_count=True, cluster=True,
+        given.located_addresses(spark, sf), filter_by_count=True, cluster=True,
     ))
 
 
