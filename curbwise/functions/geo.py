@@ -22,11 +22,6 @@ DATUM_E2 = 0.00669342162296594323
 DATUM_LNG_RANGE = (72.004, 137.8347)
 DATUM_LAT_RANGE = (0.8293, 55.8271)
 
-# Fixed values: (amplitude, divisor of the angle) of the offset's sine terms.
-SHARED_WAVES = ((20, "1/6"), (20, "1/2"))
-LAT_WAVES = ((20, "1"), (40, "3"), (160, "12"), (320, "30"))
-LNG_WAVES = ((20, "1"), (40, "3"), (150, "12"), (300, "30"))
-
 # Steps after which the ellipsoid iteration is exact to a micrometre: each step
 # shrinks the error about 300-fold, so near points need few.
 NEAR_STEPS = 3
@@ -65,24 +60,25 @@ def outside_datum(lat: str, lng: str) -> Column:
     return F.expr(_outside(lat, lng))
 
 
-def _waves(angle: str, terms: tuple[tuple[int, str], ...]) -> str:
-    parts = []
-    for amplitude, divisor in terms:
-        factor = f"* {divisor[2:]}D" if divisor.startswith("1/") else f"/ {divisor}D"
-        parts.append(f"{amplitude}D * sin({angle} * pi() {factor})")
-    return " + ".join(parts)
-
-
 def _offset_m(east: str, north: str) -> tuple[str, str]:
     """Raw (north, east) offset at a place given as degrees from 105E 35N."""
-    shared = _waves(east, SHARED_WAVES)
+    # The numbers of the public GCJ-02 offset formula.
+    shared = f"20D * sin({east} * pi() * 6D) + 20D * sin({east} * pi() * 2D)"
+    north_waves = (
+        f"20D * sin({north} * pi() / 1D) + 40D * sin({north} * pi() / 3D)"
+        f" + 160D * sin({north} * pi() / 12D) + 320D * sin({north} * pi() / 30D)"
+    )
+    east_waves = (
+        f"20D * sin({east} * pi() / 1D) + 40D * sin({east} * pi() / 3D)"
+        f" + 150D * sin({east} * pi() / 12D) + 300D * sin({east} * pi() / 30D)"
+    )
     to_north = (
         f"(-100D + 2D * {east} + 3D * {north} + 0.2D * {north} * {north} + 0.1D * {east} * {north} "
-        f"+ 0.2D * sqrt(abs({east})) + ({shared} + {_waves(north, LAT_WAVES)}) * 2D / 3D)"
+        f"+ 0.2D * sqrt(abs({east})) + ({shared} + {north_waves}) * 2D / 3D)"
     )
     to_east = (
         f"(300D + {east} + 2D * {north} + 0.1D * {east} * {east} + 0.1D * {east} * {north} "
-        f"+ 0.1D * sqrt(abs({east})) + ({shared} + {_waves(east, LNG_WAVES)}) * 2D / 3D)"
+        f"+ 0.1D * sqrt(abs({east})) + ({shared} + {east_waves}) * 2D / 3D)"
     )
     return to_north, to_east
 

@@ -14,11 +14,6 @@ from curbwise.sources import schemas
 NOTHING_FOUND = "no recomms"
 RET_OK, RET_NO_PLACE, RET_NO_CITY = 0, -1, -2
 
-# Areas and the cities each one serves.
-CITY_AREAS = {
-    "North": ("bj",), "East": (), "SouthEast": (), "SouthWest": (), "West": (), "Foreign": (),
-}
-
 LOOKUP_POINT = ("id", "lat", "lng", "name", "score", "count", "tag", "ext")
 DOCUMENT_POINT = ("id", "lat", "lng", "name", "score", "tag")
 
@@ -97,10 +92,9 @@ def documents_from_results(named: DataFrame) -> DataFrame:
     return named.withColumnsRenamed({"startPos": "_id", "update": "update_time"}).drop("lat", "lng")
 
 
-def city_dimension(spark: SparkSession) -> DataFrame:
-    """The cities served and their areas: a handful of rows."""
-    rows = [(city, area) for area, members in CITY_AREAS.items() for city in members]
-    return spark.createDataFrame(rows, "city string, area string")
+def city_dimension(spark: SparkSession, areas: dict[str, str]) -> DataFrame:
+    """The cities served and the area of each: a handful of rows."""
+    return spark.createDataFrame(sorted(areas.items()), "city string, area string")
 
 
 def with_area(rows: DataFrame, dimension: DataFrame) -> DataFrame:
@@ -118,19 +112,27 @@ def request_keys(requests: DataFrame) -> DataFrame:
     return located.withColumn("key", F.coalesce(given, F.col("_cell"))).drop("_cell")
 
 
+def asked_details(detail: DataFrame, places: DataFrame) -> DataFrame:
+    """Detail rows of the distinct (city, geohash) places."""
+    wanted = places.withColumnRenamed("geohash", "exp_geohash")
+    return detail.join(wanted, ["city", "exp_geohash"], "left_semi")
+
+
 def lookup(
     requests: DataFrame, info: DataFrame, detail: DataFrame, cities: DataFrame, now_epoch: int
 ) -> DataFrame:
     """Batch recommendation lookup, with the default document where none exists.
 
     ``requests`` has request_id, city, lat, lng, geohash. ``cities`` lists the
-    served cities and is a small dimension.
+    served cities and is a small dimension. Details are cut down to the places
+    asked for before anything is nested.
     """
     keyed = request_keys(requests).select("request_id", "city", F.col("key").alias("geohash"))
     known = cities.select("city", F.lit(True).alias("_known")).distinct()
-    points = nested_points(detail, LOOKUP_POINT)
-    found = info.join(points, ["city", "geohash"], "left").withColumn("_found", F.lit(True))
-    rows = keyed.join(known, "city", "left").join(found, ["city", "geohash"], "left")
+    places = keyed.join(known, "city", "left_semi").select("city", "geohash").distinct()
+    points = nested_points(asked_details(detail, places), LOOKUP_POINT)
+    found = info.withColumn("_found", F.lit(True))
+    rows = keyed.join(known, "city", "left").join(found, ["city", "geohash"], "left").join(points, ["city", "geohash"], "left")
     ret = (
         F.when(F.col("geohash").isNull(), RET_NO_PLACE)
         .when(F.col("_known").isNull(), RET_NO_CITY).otherwise(RET_OK)

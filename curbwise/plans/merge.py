@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbwise.functions.calendar import month_key
+from curbwise.functions.calendar import days_between, month_bounds, month_key
 from curbwise.operators.orders import (
     attach_ext, latest_rows, one_row_per_key, real_passenger, valid_ext, valid_order,
 )
@@ -35,7 +35,7 @@ def merge_days(orders: DataFrame, ext: DataFrame, first_day: int, last_day: int)
 def merge_days_to_table(orders: DataFrame, ext: DataFrame, first_day: int, last_day: int, path: str) -> None:
     """Merge and replace those days; a day of the span without a valid order fails first, before anything is written."""
     tables.require_days(orders.where(valid_order()), first_day, last_day)
-    tables.write_day_partitions(merge_days(orders, ext, first_day, last_day), path)
+    tables.replace_days(merge_days(orders, ext, first_day, last_day), path, days_between(first_day, last_day))
 
 
 def merge_exports(orders: DataFrame, ext: DataFrame) -> DataFrame:
@@ -59,7 +59,9 @@ def export_months(orders: DataFrame, ext: DataFrame, months: list[int], folder:
 
 
 def merge_tsv_to_table(spark: SparkSession, folder: str, months: list[int], path: str) -> None:
-    """Load the months' TSV exports and replace their days in the fact table."""
+    """Load the months' TSV exports and replace all their days in the fact table, also those that have no orders any more."""
     orders = tables.read_tsv_months(spark, f"{folder}/orders", schemas.ORDER_EXPORT, months)
     ext = tables.read_tsv_months(spark, f"{folder}/ext", schemas.EXT_EXPORT, months)
-    tables.write_day_partitions(merge_exports(orders, ext), path)
+    bounds = [month_bounds(month) for month in months]
+    days = [day for first, last in bounds for day in range(first, last + 1)]
+    tables.replace_days(merge_exports(orders, ext), path, days)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from curbwise.functions.calendar import days_between, month_bounds, month_key
 from curbwise.sources import schemas
+from curbwise.sources.replace import gathered, replace_partitions
 
 COORDINATE_COLUMNS = (
     "expect_start_latitude", "expect_start_longitude", "start_latitude", "start_longitude",
@@ -55,6 +56,11 @@ def write_day_partitions(positions: DataFrame, path: str) -> None:
     )
 
 
+def replace_days(positions: DataFrame, path: str, days: list[int]) -> None:
+    """Replace those days as a whole: one without rows is gone afterwards, a failed job changes nothing."""
+    replace_partitions(positions, path, "dt", [str(day) for day in days])
+
+
 def require_days(rows: DataFrame, first_day: int, last_day: int) -> DataFrame:
     """The rows of the inclusive span; fails naming its calendar days without any row.
 
@@ -129,15 +135,24 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def replace_city(rows: DataFrame, path: str, city: str) -> None:
+def replace_city(rows: DataFrame, path: str, city: str, order: tuple[str, ...] = ()) -> None:
     """Replace one city's rows, also when the new set is empty."""
-    rows.where(F.col("city") == city).drop("city").write.mode("overwrite").parquet(f"{path}/city={city}")
+    replace_partitions(rows.where(F.col("city") == city), path, "city", [city], order)
 
 
-def replace_cities(rows: DataFrame, path: str) -> None:
-    """Replace every city present in ``rows`` in one job; a large city is split by size."""
+def replace_cities(
+    rows: DataFrame, path: str, cities: list[str] | None = None, order: tuple[str, ...] = ()
+) -> None:
+    """Replace cities in one job; a large city is split by size, files are sorted by ``order``.
+
+    Given ``cities`` exactly those are replaced, also by nothing, and a failed
+    job changes nothing; else every city present in ``rows`` is.
+    """
+    if cities is not None:
+        replace_partitions(rows.where(F.col("city").isin(cities)), path, "city", cities, order)
+        return
     (
-        rows.hint("rebalance", "city")
+        gathered(rows, "city", order)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("city").parquet(path)
     )

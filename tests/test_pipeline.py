@@ -114,7 +114,7 @@ def test_lookup_answers(spark):
          (4, "nowhere", 39.9, 116.3, None), (5, "bj", 0.0, 0.0, "")],
         "request_id bigint, city string, lat double, lng double, geohash string",
     )
-    rows = {r.request_id: r for r in publish.lookup(asked, info, detail, publish.city_dimension(spark), 99).collect()}
+    rows = {r.request_id: r for r in publish.lookup(asked, info, detail, given.cities(spark), 99).collect()}
     assert rows[1].ret == 0 and rows[1].geohash == known.geohash and len(rows[1].recomms) == known.num
     assert (rows[2].ret, rows[2].num, rows[2].radius, rows[2].regeo, rows[2].recomms, rows[2].update_time) == (
         0, 0, 0, "no recomms", [], 99)

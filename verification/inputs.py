@@ -27,6 +27,8 @@ FIRST_DAY, LAST_DAY = 20170101, 20170328
 MONTHS = [201701, 201702, 201703]
 RUN_EPOCH = 1491000000
 NOW_EPOCH = 1500000000
+# The served cities and their areas.
+AREAS = {"bj": "North"}
 
 _paths: dict[tuple[str, str, str], str] = {}
 
@@ -106,5 +108,9 @@ def detail(spark: SparkSession, sf: str) -> DataFrame:
     return _interim(spark, sf, "detail", lambda: publish.detail_rows(named(spark, sf), RUN_EPOCH))
 
 
+def cities(spark: SparkSession) -> DataFrame:
+    return publish.city_dimension(spark, AREAS)
+
+
 def requests(spark: SparkSession, sf: str) -> DataFrame:
     return demo(spark, sf, "request").withColumn("geohash", F.lit(None).cast("string"))

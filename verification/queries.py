@@ -22,6 +22,7 @@ from curbwise.plans import publish as publish_plan
 from curbwise.plans.name import name_recommendations
 from curbwise.session import staged_path
 from curbwise.sources import schemas, tables
+from curbwise.streaming import spot_counts
 from verification import inputs as given
 from verification import oracle_ctes as o
 
@@ -99,6 +100,17 @@ def day_partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_positions(spark, path).select(*_POSITION_COLS)
 
 
+@query("S4 E2", f"SELECT {_POSITION_KEYS} FROM positions WHERE dt NOT IN (20170203, 20170228)")
+def month_replaced_as_a_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Load all days, then one month again of which two days lost their orders: their old rows are gone."""
+    path = staged_path(spark, "days")
+    rows = given.positions(spark, sf)
+    tables.replace_days(rows, path, [month * 100 + day for month in given.MONTHS for day in range(1, 32)])
+    again = tables.month_slice(rows, 201702).where(~F.col("dt").isin(20170203, 20170228))
+    tables.replace_days(again, path, [20170200 + day for day in range(1, 32)])
+    return tables.read_positions(spark, path).select(*_POSITION_COLS)
+
+
 _PACKED = "spot || ':' || CAST(cnt AS VARCHAR) || ':' || CAST(lat AS VARCHAR) || ':' || CAST(lng AS VARCHAR)"
 
 #: A line for each point and rough cell of its co-occurring spots, its own cell always among them.
@@ -442,7 +454,7 @@ def _lookup_plain(rows: DataFrame) -> DataFrame:
 def lookup_by_coordinates(spark: SparkSession, sf: str) -> DataFrame:
     return _lookup_plain(publish.lookup(
         given.requests(spark, sf), given.info(spark, sf), given.detail(spark, sf),
-        publish.city_dimension(spark), given.NOW_EPOCH,
+        given.cities(spark), given.NOW_EPOCH,
     ))
 
 
@@ -452,7 +464,7 @@ def lookup_by_geohash(spark: SparkSession, sf: str) -> DataFrame:
     asked = cells.with_geohash(given.demo(spark, sf, "request"), "lat", "lng", "geohash", 12)
     asked = asked.withColumns({"lat": F.col("lat") + 1, "lng": F.lit(None).cast("double")})
     return _lookup_plain(publish.lookup(
-        asked, given.info(spark, sf), given.detail(spark, sf), publish.city_dimension(spark), given.NOW_EPOCH
+        asked, given.info(spark, sf), given.detail(spark, sf), given.cities(spark), given.NOW_EPOCH
     ))
 
 
@@ -485,7 +497,7 @@ def names_attached(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("J15", "SELECT geohash, city, 'North' AS area FROM info WHERE city = 'bj'")
 def info_with_area(spark: SparkSession, sf: str) -> DataFrame:
-    rows = publish.with_area(given.info(spark, sf), publish.city_dimension(spark))
+    rows = publish.with_area(given.info(spark, sf), given.cities(spark))
     return rows.select("geohash", "city", "area")
 
 
@@ -1079,7 +1091,7 @@ def batch_lookup(spark: SparkSession, sf: str) -> DataFrame:
     info = tables.read_city_table(spark, info_path, schemas.INFO)
     detail = tables.read_city_table(spark, detail_path, schemas.DETAIL)
     return _lookup_plain(publish.lookup(
-        given.requests(spark, sf), info, detail, publish.city_dimension(spark), given.NOW_EPOCH
+        given.requests(spark, sf), info, detail, given.cities(spark), given.NOW_EPOCH
     ))
 
 
@@ -1138,6 +1150,25 @@ def heat_query_clustered(spark: SparkSession, sf: str) -> DataFrame:
     ))
 
 
+_DAY_SPOTS = (
+    f"SELECT dt, city, start_geohash AS spot, count(*) AS cnt, {o.mean6('start_lat')} AS lat, {o.mean6('start_lng')} AS lng FROM "
+    + o.with_geohash("(SELECT dt, city, start_latitude AS start_lat, start_longitude AS start_lng FROM positions)",
+                     "start_lat", "start_lng", "start_geohash", 8)
+    + " GROUP BY dt, city, start_geohash"
+)
+
+
+@query("X1", _DAY_SPOTS)
+def incremental_spot_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The day files as a stream in several batches, each upserted into the days it touches."""
+    source, path = given.positions_path(spark, sf), staged_path(spark, "day-spots")
+    files = spot_counts.order_files(spark, source, files_per_batch=28)
+    # All three months arrive in no particular order, so no day may be closed before the end.
+    spot_counts.keep_counting(files, path, staged_path(spark, "day-spots-state"), delay="120 days").awaitTermination()
+    days = spot_counts.spots_of_days(spot_counts.read_day_counts(spark, path))
+    return days.select("dt", "city", cells.cell_text("start_cell", cells.SPOT_PRECISION).alias("spot"), "cnt", "lat", "lng")
+
+
 @query("E10", _SNAPPED)
 def road_snapping(spark: SparkSession, sf: str) -> DataFrame:
     """Points given as text, as the command-line tool takes them, moved onto roads."""
