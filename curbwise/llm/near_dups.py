@@ -47,12 +47,15 @@ BANDS, BAND_ROWS = 30, 6
 REGISTERS = BANDS * BAND_ROWS
 SIMILARITY = 0.8
 #: Agreement of signatures below which a pair is not compared.
-LEAST_ESTIMATE = 0.7
+LEAST_ESTIMATE = 0.65
 #: Members and shingles in a block of the second step: about 2 MB.
 BLOCK, BLOCK_WEIGHT = 512, 200_000
 #: Words a task remembers before it starts afresh; only speed depends on it.
 KEPT_WORDS = 400_000
 
+#: A text with more than one in so many of all rows has its class broadcast; there are fewer such texts than this.
+HOT_SHARE = 1000
+
 _GOLDEN, _MIX1, _MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -319,35 +322,57 @@ def _find(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame
     more = _between(crowded, joined, nodes, keyed)
     if not more.isEmpty():
         joined = components(links.union(more), "a", "b")
-    copies = signed.where("weight > 0").groupBy("key").agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id"))
+    copies = signed.where("weight > 0").groupBy("key").agg(
+        F.min("row").alias("node"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies")
+    )
     member = copies.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = member.groupBy("component").agg(
         F.min("least_id").alias("class_id"), F.min_by("node", F.coalesce("least_id", F.lit(2**63 - 1))).alias("head")
     )
     by_key = stage(
-        member.join(named, "component").select(F.col("key").alias("its_key"), "node", "class_id", "head"), "near-classes"
+        member.join(named, "component").select(F.col("key").alias("its_key"), "node", "class_id", "head", "copies"), "near-classes"
     )
     return signed, by_key
 
 
+def _with_class(rows: DataFrame, by_key: DataFrame) -> DataFrame:
+    """Rows with a ``key`` and the class of their text.
+
+    A text that very many rows have would be one key of the join, so the few
+    such texts go by a broadcast.
+    """
+    total = by_key.agg(F.sum("copies")).first()[0] or 0
+    hot = F.broadcast(by_key.where(F.col("copies") * HOT_SHARE > total))
+    found = rows.join(hot, F.col("key") == F.col("its_key"))
+    others = rows.join(hot.select("its_key"), F.col("key") == F.col("its_key"), "left_anti")
+    return found.unionByName(others.join(by_key, F.col("key") == F.col("its_key")))
+
+
+def has_words(text: str) -> Column:
+    """Is there an ASCII letter or digit, or a character beyond ASCII?"""
+    return F.coalesce(F.col(text).rlike("[0-9A-Za-z]|[^\\x00-\\x7F]"), F.lit(False))
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per row of ``docs``: doc_id and class_id, the least id of its class."""
     signed, by_key = _find(docs, doc_id, text)
-    return signed.join(by_key, F.col("key") == F.col("its_key"), "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id")
-    )
+    alone = signed.where("weight = 0").select("doc_id", F.col("doc_id").alias("class_id"))
+    grouped = _with_class(signed.where("weight > 0").select("doc_id", "key"), by_key)
+    return alone.unionByName(grouped.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")))
 
 
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with one of each class left, that of the least id; rows without words all stay."""
+    """The rows of ``docs`` with one of each class left, that of the least id; rows without words all stay.
+
+    Of several rows with that id and text the first in the order of their other columns stays.
+    """
     _, by_key = _find(docs, doc_id, text)
     names = {name: f"c{place}" for place, name in enumerate(docs.columns)}
     plain = docs.toDF(*names.values())
-    joined = plain.withColumn("key", _key(names[text])).join(by_key, F.col("key") == F.col("its_key"), "left")
-    kept = joined.where(
-        F.col("its_key").isNull() | ((F.col("node") == F.col("head")) & F.col(names[doc_id]).eqNullSafe(F.col("class_id")))
-    )
-    # Rows equal in id and text differ in nothing here: one stays. Rows without words are told apart.
-    alone = F.when(F.col("its_key").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1))
-    once = kept.withColumn("alone", alone).dropDuplicates(["key", "alone"])
-    return once.select(*[F.col(short).alias(name) for name, short in names.items()])
+    worded = has_words(names[text])
+    joined = _with_class(plain.where(worded).withColumn("key", _key(names[text])), by_key)
+    kept = joined.where((F.col("node") == F.col("head")) & F.col(names[doc_id]).eqNullSafe(F.col("class_id")))
+    whole = F.struct(*names.values())
+    once = kept.groupBy("key").agg(F.min_by(whole, F.to_json(whole, {"ignoreNullFields": "false"})).alias("row"))
+    left = plain.where(~worded).unionByName(once.select("row.*"))
+    return left.select(*[F.col(short).alias(name) for name, short in names.items()])

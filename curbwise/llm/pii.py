@@ -11,7 +11,10 @@ card, phone) are always reported when they pass their checks. The method adds:
   19 digits in all that passes Luhn where a context word stands nearby, so that
   adjacent numbers are not lost. Of overlapping runs a single group goes first,
   then the more usual length (``CARD_LENGTHS``), then the leftmost;
-- ``ssn``: ddd-dd-dddd only with a context word nearby.
+- ``ssn``: ddd-dd-dddd only with a context word nearby;
+- ``secret``: a private-key block; a key with a known prefix; a long hexadecimal or
+  base-64 value that is assigned to a name (``token = "..."``), where its letters are
+  as mixed as random ones and a context word stands nearby.
 
 All patterns run in linear time: each starts only where a run of its characters
 starts, and quantifiers are possessive where nothing behind them can give back.
@@ -22,7 +25,9 @@ the end exclusive; repeated rows each get their own result.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +36,7 @@ from pyspark.sql import functions as F
 from curbwise.llm.batches import arrow_pass, ship_package, texts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban", "ssn")
+KINDS = (*BASE_KINDS, "iban", "ssn", "secret")
 THRESHOLD = 0.5
 #: Characters before and after a span in which context words count.
 CONTEXT = 48
@@ -41,6 +46,7 @@ CONTEXT_WORDS = {
     "card": ("card", "visa", "mastercard", "amex", "credit", "debit", "payment", "karte", "carte", "tarjeta"),
     "ssn": ("ssn", "social security", "security number"),
     "iban": ("iban", "account", "bank", "konto", "compte", "cuenta"),
+    "secret": ("token", "secret", "passw", "api", "key", "auth", "credential", "bearer", "private"),
 }
 AGAINST_WORDS = ("isbn", "order no", "serial", "version", "tracking")
 
@@ -55,6 +61,19 @@ _IBAN_REST = re.compile(r"(?: ?[A-Z0-9]){1,30}")
 _GROUP_END = re.compile(r"[A-Z0-9](?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _DIGITS = re.compile("[0-9]++")
+_KEY_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?")
+_ASSIGNED = re.compile(r"""[=:]\s?["']?([A-Za-z0-9+/_-]{20,}+={0,2})""")
+
+# What keys of common services start with, and how many more characters they have at least.
+KEY_PREFIXES = (
+    ("AKIA", 16), ("ASIA", 16), ("ghp_", 30), ("gho_", 30), ("ghs_", 30), ("github_pat_", 30), ("glpat-", 20),
+    ("xoxb-", 20), ("xoxp-", 20), ("sk_live_", 20), ("rk_live_", 20), ("AIza", 30), ("sk-", 32),
+)
+_PREFIXED = re.compile(
+    "(?<![A-Za-z0-9_-])(?:" + "|".join(f"{re.escape(p)}[A-Za-z0-9_-]{{{n},}}+" for p, n in KEY_PREFIXES) + ")"
+)
+#: Bits of a character from which a value counts as random: of hexadecimal digits, and of any others.
+RANDOM_HEX, RANDOM_ANY = 3.0, 3.7
 
 #: Digits of a card, the more usual numbers first.
 CARD_LENGTHS = (16, 15, 14, 19, 13, 18, 17)
@@ -178,10 +197,33 @@ def ibans(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def entropy(value: str) -> float:
+    """Bits per character by the characters' own shares."""
+    return -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
+
+
+def secrets(text: str) -> list[Span]:
+    """Key blocks, keys of known prefixes and assigned random values, none overlapping an earlier one."""
+    found: list[Span] = [("secret", m.start(), m.end(), 1.0) for m in _KEY_BLOCK.finditer(text)] if "-----BEGIN" in text else []
+    taken = [(a, b) for _, a, b, _ in found]
+    matches = [(m.start(), m.end(), 1.0) for m in _PREFIXED.finditer(text)]
+    for m in _ASSIGNED.finditer(text):
+        value = m[1]
+        is_hex = not value.strip("0123456789abcdefABCDEF")
+        mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
+        if mixed and entropy(value) >= (RANDOM_HEX if is_hex else RANDOM_ANY):
+            matches.append((m.start(1), m.end(1), context_score(text, m.start(1), m.end(1), "secret", 0.3)))
+    for start, end, score in matches:
+        if all(end <= a or b <= start for a, b in taken):
+            taken.append((start, end))
+            found.append(("secret", start, end, score))
+    return found
+
+
 def added_spans(text: str, base: list[Span]) -> list[Span]:
     """Spans beyond the base kinds whose score reaches the threshold."""
     if not _DIGIT.search(text):
-        return []
+        return [("secret", m.start(), m.end(), 1.0) for m in _KEY_BLOCK.finditer(text)] if "-----BEGIN" in text else []
     cards = {(a, b) for kind, a, b, _ in base if kind == "card"}
     found: list[Span] = []
     for m in _CARD.finditer(text):
@@ -191,6 +233,7 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
         found.append(("iban", start, end, context_score(text, start, end, "iban", 0.8)))
     for m in _SSN.finditer(text):
         found.append(("ssn", m.start(), m.end(), context_score(text, m.start(), m.end(), "ssn", 0.2)))
+    found += secrets(text)
     return [span for span in found if span[3] >= THRESHOLD]
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbwise.llm.batches import arrow_pass, ship_package
+from curbwise.llm.batches import arrow_pass, ship_package, stage
 
 SYMBOLS = b"#*$%&|<>"
 CONTINUATION = bytes(range(0x80, 0xC0))
@@ -85,6 +85,10 @@ def with_measures(counted: DataFrame) -> DataFrame:
     })
 
 
+#: Groups (language, source) up to which their limits are broadcast (some 100 bytes each).
+BROADCAST_GROUPS = 100_000
+
+
 def bucket(value: Column) -> Column:
     """Lower bound of the value's bucket: exact below 32, then 16 buckets for each doubling."""
     shift = F.greatest(F.length(F.bin(value)) - 5, F.lit(0))
@@ -158,9 +162,12 @@ def judge(docs: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """
     source = with_counts(docs.select("doc_id", "lang", "source", "text")) if counted is None else counted
     measured = with_measures(source)
-    limits = fences(sketches(measured)).select(
+    limits = stage(fences(sketches(measured)).select(
         F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), *[f"max_{m}" for m in MEASURES]
-    )
+    ), "quality-fences")
+    # A handful of groups holds all documents: their limits are broadcast, so that no group is one task's.
+    if limits.count() <= BROADCAST_GROUPS:
+        limits = F.broadcast(limits)
     joined = measured.join(
         limits, F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")), "left"
     ).drop("g_lang", "g_source")

@@ -51,8 +51,9 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, doc_id: str = "doc
     """
     ordered = (
         docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", F.xxhash64("text"))
+        .withColumn("tie", F.xxhash64("text"))
+        .repartitionByRange("doc_id", "tie")
+        .sortWithinPartitions("doc_id", "tie").drop("tie")
     )
     tokens = encode(ordered, vocabulary).withColumn("place", F.monotonically_increasing_id())
     (

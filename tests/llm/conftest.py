@@ -9,6 +9,7 @@ DOCS = T.StructType([
     # Names that operators use for columns of their own.
     T.StructField("ids", T.StringType()), T.StructField("key", T.StringType()), T.StructField("node", T.StringType()),
     T.StructField("hit", T.StringType()), T.StructField("n_words", T.StringType()), T.StructField("score", T.StringType()),
+    *[T.StructField(name, T.StringType()) for name in ("toxic", "part", "labelled", "spans", "raw", "matches", "doc", "runs")],
 ])
 
 PROSE = " ".join(f"word{i * 7919 % 1009}" for i in range(120))
@@ -22,7 +23,7 @@ def odd_docs(spark):
         (1, PROSE), (2, PROSE), (2, PROSE), (3, PROSE + " more"), (4, ""), (5, None), (6, long_text), (7, " \n\t "),
         (None, "a text without an id"), (8, "short"), (9, "a@b.co +1 (017) 555-7713 \u00e9t\u00e9"), (None, None),
     ]
-    rows = [(i, t, None if i == 1 else "en", None, None, "x", "y", "z", "h", "n", "s") for i, t in texts]
+    rows = [(i, t, None if i == 1 else "en", None, None, "x", "y", "z", "h", "n", "s", *"abcdefgh") for i, t in texts]
     return spark.createDataFrame(rows, DOCS)
 
 

@@ -137,12 +137,14 @@ def test_toxicity_counts_every_ngram(spark, monkeypatch):
     stems = sorted({word[:5].decode() for word in both})
     stem_counts = np.array([[sum(n for w, n in ones[c].items() if w[:5].decode() == s) for c in (0, 1)] for s in stems], float)
     plain = toxicity.Model(vocabulary, left, keys, counts, stems, stem_counts)
-    evidence = toxicity.evidence_table(docs).cache()
+    evidence, counted = toxicity.evidence_table(docs)
+    evidence = evidence.cache()
+    assert counted == sum(len(words) for words, _ in texts) and evidence.where("value = 0").count() == 0
     seen = []
     for local in (10**6, 200, 0):  # all broadcast, some joined, all joined
         monkeypatch.setattr(toxicity, "LOCAL", local)
-        model = toxicity._split(evidence)
-        assert (model.others is None) == (local == 10**6)
+        model = toxicity._split(evidence, counted)
+        assert (model.others.count() == 0) == (local == 10**6) and (len(model.keys) == 0) == (local == 0)
         found = toxicity.with_evidence(docs.select(F.col("doc_id").alias("doc"), "text"), model).collect()
         seen.append({r.doc: (r.evidence, r.n_words) for r in found})
         assert len(found) == len(rows)

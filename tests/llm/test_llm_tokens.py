@@ -4,18 +4,19 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from curbwise.llm import bpe, token_files
+from curbwise.llm import bpe, library, token_files
 from curbwise.session import staged_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
 OWN = bpe.WordBpe(open(PATH, "rb").read())
-MEMO = token_files.LibraryEncoder(open(PATH, "rb").read())
+MEMO = library.LibraryEncoder(open(PATH, "rb").read())
 
 
 def expected(text):
@@ -36,7 +37,21 @@ def test_own_encoder_equals_the_library():
 @given(st.text(st.characters(max_codepoint=0x52F, exclude_categories=["Cs"]), max_size=60))
 def test_both_encoders_on_any_text(text):
     assert OWN.encode_all([text]).to_pylist()[0] == expected(text)
-    assert MEMO.encode_all([text], [2]).to_pylist()[0] == [*expected(text), 2]
+    assert MEMO.encode_all(pa.array([text]), [2]).to_pylist()[0] == [*expected(text), 2]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.one_of(
+    st.sampled_from(" .,\n\u0130aE'"), st.characters(exclude_categories=["Cs", "Cn"])
+), max_size=40), max_size=8))
+def test_library_by_units_on_any_texts(texts):
+    assert MEMO.encode_all(pa.array(texts, pa.string()), [2]).to_pylist() == [[*expected(text), 2] for text in texts]
+
+
+def test_library_by_units_on_letters_that_grow():
+    texts = ["\u0130.", "D\u0130, x", "TAK\u0130, x", "\u0130,\u0130.", "\ufb01, \u1e9e.", "<|endoftext|> a<|endoftext|>.", None]
+    assert MEMO.encode_all(pa.array(texts, pa.string()), [2]).to_pylist() == [[*expected(text), 2] for text in texts]
+    assert "\u0130" not in library.PLAIN and "\u00e9" in library.PLAIN
 
 
 def test_heap_and_scan_merge_alike():
@@ -52,11 +67,11 @@ def test_unknown_ids_decode_to_nothing(spark):
 
 
 def test_odd_rows(odd_docs, no_docs):
-    rows = bpe.round_trip(odd_docs.drop("ids"), PATH).collect()
+    rows = bpe.round_trip(odd_docs, PATH).collect()
     assert len(rows) == odd_docs.count()
     for row in rows:
         assert row.ids == expected(row.text)
-    assert bpe.encode(no_docs.drop("ids"), PATH).count() == 0
+    assert bpe.encode(no_docs, PATH).count() == 0
 
 
 def test_token_files(spark, odd_docs, no_docs):
