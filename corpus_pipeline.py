@@ -2,6 +2,11 @@
 
 Every stage takes what its predecessor kept, and its result is written to the
 shared folder and read again before the next one starts.
+
+Defined results: null texts pass as empty ones until they are redacted, which
+gives the empty text; null ids stay null; repeated rows of one id and text are
+one document to near-dedup; extra columns of any name pass through all stages
+but the last; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbwise.llm import bpe, decontaminate, near_dups, pii, toxicity
-from curbwise.llm.batches import stage, table
+from curbwise.llm.batches import numbered, stage, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -32,10 +37,22 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by the name of its kind and ``n_chars`` counted anew."""
-    found = pii.detect(docs.withColumnRenamed("text", "raw"), "raw", redacted="text", drop=("raw",))
-    counted = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
-    return found.withColumns(counted).select(*docs.columns) if counted else found.select(*docs.columns)
+    """All documents, with personal data and secrets replaced by the name of their kind and ``n_chars`` counted anew.
+
+    Columns are numbered meanwhile, so none of any name clashes with those of the operator.
+    """
+    plain, names = numbered(docs)
+    found = pii.detect(plain, names["text"], redacted="clean")
+    counted = F.length("clean")
+
+    def column(name: str):
+        if name == "text":
+            return F.col("clean").alias(name)
+        if name == "n_chars":
+            return counted.cast(docs.schema[name].dataType).alias(name)
+        return F.col(names[name]).alias(name)
+
+    return found.select(*map(column, docs.columns))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
