@@ -105,6 +105,25 @@ def prefix(geohash: Column, precision: int) -> Column:
     return F.substring(geohash, 1, precision)
 
 
+def order_id(geohash: Column, precision: int) -> Column:
+    """The geohash as a number in the order of its text: cells with a common prefix are one range."""
+    total = F.lit(0).cast("bigint")
+    for at in range(1, precision + 1):
+        total = total * len(ALPHABET) + (F.instr(F.lit(ALPHABET), F.substring(geohash, at, 1)) - 1)
+    return total
+
+
+def prefix_range(text: str, precision: int) -> tuple[int, int]:
+    """The first order id of the cells with this prefix, and the first beyond them."""
+    if len(text) > precision or not set(text) <= set(ALPHABET):
+        raise ValueError(f"{text!r} is no prefix of a geohash of {precision} characters")
+    first = 0
+    for char in text:
+        first = first * len(ALPHABET) + ALPHABET.index(char)
+    width = len(ALPHABET) ** (precision - len(text))
+    return first * width, (first + 1) * width
+
+
 def with_decoded(df: DataFrame, geohash: str, out_lat: str, out_lng: str) -> DataFrame:
     """Add the GCJ-02 centre of a geohash cell of any length up to 12."""
     keep = [F.col(f"`{c}`") for c in df.columns]

@@ -20,9 +20,14 @@ DEFAULT_RADIUS_M = 200.0
 DEFAULT_TOP = 200
 
 
-def prefix_filter(spots: DataFrame, prefix: str) -> DataFrame:
-    """Spots whose geohash starts with a prefix."""
-    return spots.where(F.col("spot").startswith(prefix))
+def prefix_filter(ordered: DataFrame, prefix: str) -> DataFrame:
+    """Spots of an ordered table whose geohash starts with a prefix of any length.
+
+    The prefix is a range of order ids, which the table's files are sorted by,
+    so a reader opens the row groups that can have it.
+    """
+    first, beyond = cells.prefix_range(prefix, cells.SPOT_PRECISION)
+    return ordered.where((F.col("order_id") >= first) & (F.col("order_id") < beyond))
 
 
 def heat_candidates(
@@ -71,6 +76,11 @@ def clustered(candidates: DataFrame) -> DataFrame:
     return with_ellipsoid_m(centres, "req_lat", "req_lng", "lat", "lng", "distance", FAR_STEPS)
 
 
+def by_count(candidates: DataFrame) -> DataFrame:
+    """Candidates with their rank in the request, the largest count first."""
+    return hottest(candidates, None)
+
+
 def hottest(points: DataFrame, top: int | None = DEFAULT_TOP) -> DataFrame:
     """The points of each request ranked by count, the first ``top`` of them unless that is None."""
     order = Window.partitionBy("request_id").orderBy(F.desc("count"), "geohash")

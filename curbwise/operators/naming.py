@@ -48,6 +48,13 @@ def pois_around(points: DataFrame, pois: DataFrame, reach: float = SEARCH_REACH_
     return within_metres(points, places, reach, ["city"]).drop("poi_lat", "poi_lng")
 
 
+def ranked_by_distance(candidates: DataFrame, keys: list[str]) -> DataFrame:
+    """Candidates with their ``place`` by distance, in whole millimetres, around each point."""
+    near = candidates.withColumn("distance", F.round("distance", 3))
+    order = Window.partitionBy(*keys).orderBy("distance", "poi_id")
+    return near.withColumn("place", F.row_number().over(order).cast("bigint"))
+
+
 def best_names(candidates: DataFrame, keys: list[str]) -> DataFrame:
     """The best name per point: a preferred type close by, else the nearest.
 

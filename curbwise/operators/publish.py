@@ -112,6 +112,12 @@ def request_keys(requests: DataFrame) -> DataFrame:
     return located.withColumn("key", F.coalesce(given, F.col("_cell"))).drop("_cell")
 
 
+def asked_info(requests: DataFrame, info: DataFrame) -> DataFrame:
+    """The info row of each request's cell, for requests that have one."""
+    asked = request_keys(requests).select("request_id", "city", F.col("key").alias("geohash"))
+    return asked.join(info, ["city", "geohash"])
+
+
 def asked_details(detail: DataFrame, places: DataFrame) -> DataFrame:
     """Detail rows of the distinct (city, geohash) places."""
     wanted = places.withColumnRenamed("geohash", "exp_geohash")

@@ -107,6 +107,27 @@ def spot_table(stats: DataFrame) -> DataFrame:
     return text.select("city", cells.prefix(F.col("spot"), ROUGH_PRECISION).alias("rough"), *_SPOT)
 
 
+def ordered_spots(spots: DataFrame) -> DataFrame:
+    """Spots with their ``order_id``, dealt out and sorted by it: what ``prefix_filter`` reads after it is written."""
+    numbered = spots.withColumn("order_id", cells.order_id(F.col("spot"), SPOT_PRECISION))
+    return numbered.repartitionByRange("order_id").sortWithinPartitions("order_id")
+
+
+def rough_cell_sets(spots: DataFrame) -> DataFrame:
+    """The spots of each rough cell, at most 1,024 of them, as a sorted array."""
+    return spots.groupBy("city", "rough").agg(F.sort_array(F.collect_set("spot")).alias("spots"))
+
+
+def cooccurring_sets(pairs: DataFrame) -> DataFrame:
+    """Per expected cell its mean coordinates, and the set and total count of the spots its own riders used."""
+    used = attach_spot_stats(pairs.select("city", "exp_cell", "start_cell"), spot_stats(pairs), "start_cell")
+    sets = used.groupBy("city", "exp_cell").agg(
+        F.sort_array(F.collect_set(cells.cell_text("start_cell", SPOT_PRECISION))).alias("spots"), F.sum("cnt").alias("total")
+    )
+    text_sets = sets.select("city", cells.cell_text("exp_cell", SPOT_PRECISION).alias("exp_geohash"), "spots", "total")
+    return expected_points(pairs).join(text_sets, ["city", "exp_geohash"])
+
+
 def expected_points(pairs: DataFrame) -> DataFrame:
     """Mean requested coordinates of every expected cell."""
     means = _means(pairs, ["city", "exp_cell"], "exp")

@@ -113,7 +113,7 @@ SELECT CAST(c_custkey AS BIGINT) AS point_id,
   CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE '北京市' END AS city,
   CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE '海淀区' END AS district,
   CASE WHEN c_custkey % 3 = 0 OR c_custkey % 5 = 1 THEN NULL WHEN c_custkey % 7 = 3 THEN '上庄乡' WHEN c_custkey % 2 = 0 THEN '中关村街道' ELSE '上庄镇' END AS township
-FROM {customer}
+FROM {customer} WHERE c_custkey % 11 <> 6
 """
 
 DEMO_SQL["request"] = """

@@ -16,6 +16,7 @@ from curbwise.operators.recommend import (
     candidate_rows, drop_rare_when_uneven, recommend, within_step_radius,
 )
 from curbwise.operators.spots import Chains, build_chains, cell_pairs, spot_stats, spot_table
+from curbwise.operators.spots import ordered_spots as ordered
 from curbwise.plans.merge import merge_days
 from curbwise.plans.name import name_recommendations
 from curbwise.session import staged_path
@@ -79,6 +80,10 @@ def spots(spark: SparkSession, sf: str) -> DataFrame:
     return _interim(spark, sf, "spots", lambda: spot_table(spot_stats(pairs(spark, sf))))
 
 
+def ordered_spots(spark: SparkSession, sf: str) -> DataFrame:
+    return _interim(spark, sf, "ordered-spots", lambda: ordered(spots(spark, sf)))
+
+
 def chains(spark: SparkSession, sf: str) -> Chains:
     return build_chains(pairs(spark, sf))
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbwise.functions import calendar, cells, geo, text
@@ -247,7 +247,18 @@ def median_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("P6", "SELECT city, spot, cnt FROM spots WHERE spot LIKE 'wx4e%'")
 def geohash_prefix_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return heat.prefix_filter(given.spots(spark, sf), "wx4e").select("city", "spot", "cnt")
+    return heat.prefix_filter(given.ordered_spots(spark, sf), "wx4e").select("city", "spot", "cnt")
+
+
+_PREFIXES = ("wx4e", "wx4en", "wx4en3", "wx4eq8d", "wx4eq8dw", "wtw3d", "wx4dy")
+
+
+@query("P6", " UNION ALL ".join(f"SELECT '{p}' AS prefix, city, spot, cnt FROM spots WHERE spot LIKE '{p}%'" for p in _PREFIXES))
+def geohash_prefix_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """Prefixes of four to eight characters, each a range of the ordered table."""
+    rows = given.ordered_spots(spark, sf)
+    found = [heat.prefix_filter(rows, p).select(F.lit(p).alias("prefix"), "city", "spot", "cnt") for p in _PREFIXES]
+    return reduce(DataFrame.union, found)
 
 
 @query("P7", "SELECT DISTINCT startPos AS _id, city, radius, num, CAST(1491000000 AS BIGINT) AS update_time, regeo FROM named")
@@ -516,16 +527,14 @@ def cell_counts(spark: SparkSession, sf: str) -> DataFrame:
     return spots.cell_counts(spots.encode_orders(given.positions(spark, sf)))
 
 
-@query("A3", "SELECT u.city, u.exp_geohash, exp_lat, exp_lng, count(*) AS spots, CAST(sum(cnt) AS BIGINT) AS total FROM"
+@query("A3", "SELECT u.city, u.exp_geohash, exp_lat, exp_lng, count(*) AS spots, CAST(sum(cnt) AS BIGINT) AS total,"
+       " string_agg(u.spot, ',' ORDER BY u.spot) AS members FROM"
        " used_spots u JOIN points p ON u.city = p.city AND u.exp_geohash = p.exp_geohash GROUP BY ALL")
 def cooccurring_sets(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = given.pairs(spark, sf)
-    used = spots.attach_spot_stats(pairs.select("city", "exp_cell", "start_cell"), spots.spot_stats(pairs), "start_cell")
-    sets = used.groupBy("city", "exp_cell").agg(F.count(F.lit(1)).alias("spots"), F.sum("cnt").alias("total"))
-    text_sets = sets.select(
-        "city", cells.cell_text("exp_cell", cells.SPOT_PRECISION).alias("exp_geohash"), "spots", "total"
+    return spots.cooccurring_sets(given.pairs(spark, sf)).select(
+        "city", "exp_geohash", "exp_lat", "exp_lng", F.size("spots").cast("bigint").alias("spots"), "total",
+        F.array_join("spots", ",").alias("members"),
     )
-    return spots.expected_points(pairs).drop("exp_rough").join(text_sets, ["city", "exp_geohash"])
 
 
 @query("A4", "SELECT city, exp_geohash, exp_rough, exp_lat, exp_lng FROM points")
@@ -535,9 +544,7 @@ def expected_points(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("A5", "SELECT city, rough, string_agg(spot, ',' ORDER BY spot) AS spots FROM spots GROUP BY ALL")
 def rough_cell_spots(spark: SparkSession, sf: str) -> DataFrame:
-    return given.spots(spark, sf).groupBy("city", "rough").agg(
-        F.array_join(F.sort_array(F.collect_set("spot")), ",").alias("spots")
-    )
+    return spots.rough_cell_sets(given.spots(spark, sf)).withColumn("spots", F.array_join("spots", ","))
 
 
 @query("A6", "SELECT city, rough, spot, cnt, lat, lng FROM around")
@@ -711,13 +718,8 @@ def points_by_score(spark: SparkSession, sf: str) -> DataFrame:
        f" AS place FROM ({_REQUEST_POI})")
 def pois_by_distance(spark: SparkSession, sf: str) -> DataFrame:
     pois = naming.of_preferred_type(given.demo(spark, sf, "poi"))
-    near = naming.pois_around(given.demo(spark, sf, "request"), pois).withColumn("distance", F.round("distance", 3))
-    order = F.row_number().over(nearby_order("request_id", "distance", "poi_id"))
-    return near.select("request_id", "poi_id", "distance", order.cast("bigint").alias("place"))
-
-
-def nearby_order(key: str, *order: str | Column) -> WindowSpec:
-    return Window.partitionBy(key).orderBy(*order)
+    near = naming.pois_around(given.demo(spark, sf, "request"), pois)
+    return naming.ranked_by_distance(near, ["request_id"]).select("request_id", "poi_id", "distance", "place")
 
 
 @query("O3", f"SELECT point_id, name AS road, distance, direction FROM {_NEAREST_ROAD}")
@@ -732,8 +734,7 @@ _HOT = ("SELECT request_id, geohash, count, CAST(row_number() OVER (PARTITION BY
 @query("O4", _HOT)
 def heat_by_count(spark: SparkSession, sf: str) -> DataFrame:
     near = heat.heat_candidates(given.requests(spark, sf), given.spots(spark, sf))
-    order = nearby_order("request_id", F.desc("count"), "geohash")
-    return near.select("request_id", "geohash", "count", F.row_number().over(order).alias("rank"))
+    return heat.by_count(near).select("request_id", "geohash", "count", "rank")
 
 
 @query("O5", _HOT + " QUALIFY rank <= 5")
@@ -749,8 +750,7 @@ def debug_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("O7", "SELECT q.request_id, i.geohash, i.regeo FROM request_cell q JOIN info i ON i.city = q.city AND i.geohash = q.key")
 def info_by_key(spark: SparkSession, sf: str) -> DataFrame:
-    asked = publish.request_keys(given.requests(spark, sf)).select("request_id", "city", F.col("key").alias("geohash"))
-    return asked.join(given.info(spark, sf).select("city", "geohash", "regeo"), ["city", "geohash"]).drop("city")
+    return publish.asked_info(given.requests(spark, sf), given.info(spark, sf)).select("request_id", "geohash", "regeo")
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -918,12 +918,11 @@ def decorated_names(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("F18", "SELECT q.request_id, coalesce(nullif(CASE WHEN q.request_id % 4 = 0 THEN '' WHEN q.request_id % 4 = 1 THEN"
        " 'gate' END, ''), coalesce(a.short, '') || '-推荐上车点') AS name FROM fx_request q LEFT JOIN (SELECT * FROM "
-       + o.short_address("address_rows") + " WHERE point_id % 7 <> 0) a ON a.point_id = q.request_id")
+       + o.short_address("address_rows") + ") a ON a.point_id = q.request_id")
 def fallback_names(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("request_id")
     points = given.demo(spark, sf, "request").withColumn("point_id", key)
-    some = given.addresses(spark, sf).where(F.col("point_id") % 7 != 0)
-    rows = naming.address_names(points, some)
+    rows = naming.address_names(points, given.addresses(spark, sf))
     found = F.when(key % 4 == 0, "").when(key % 4 == 1, "gate")
     return rows.select("request_id", text.name_or_fallback(found, F.col("address")).alias("name"))
 
