@@ -31,7 +31,7 @@ least once in ``LOCAL`` words are broadcast and added where a text is read; that
 is a share of the words, so it bounds them and leaves the same part of a text to
 the join at every size of the corpus. The others are joined: a text's n-grams are grouped by n-gram in each task, so that a frequent
 one is a row per block of texts, and a filter of fixed size keeps back only those
-that are surely not in the table. Evidence is a sum of integers (``UNIT``), so
+that are surely not in the table. Evidence counts in whole steps of 1 / ``UNIT``, so
 neither ``LOCAL`` nor the filter nor the partitioning changes it. N-grams are
 known by 64-bit hashes.
 The logistic curve is fitted on at most ``CALIBRATION_ROWS`` labelled documents,
@@ -71,8 +71,8 @@ HELD = 400_000
 LOCAL = 1_000_000
 #: Bits of the filter of the joined n-grams (16 MB), in words of 32; only speed depends on it.
 FILTER_WORDS = 1 << 22
-#: Evidence of 1 as an integer.
-UNIT = 1 << 32
+#: Evidence of 1 as an integer. A step is small beside the evidence of an insult; what rounds to no step is no row.
+UNIT = 1 << 8
 #: Words in a block of texts whose n-grams are grouped; words whose hashes a task remembers.
 BLOCK_TOKENS, KEPT_WORDS = 500_000, 400_000
 _GOLDEN, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -206,7 +206,7 @@ class Model:
             at[at == len(self.keys)] = 0
             hit = np.flatnonzero(self.keys[at] == wanted)
             mass[hit + 1] = BIGRAM_BACKOFF * mass[hit + 1] + self.direct[at[hit]]
-        return float(np.log1p(MIXTURE * (mass[:, 1] / mass[:, 0] - 1)).sum())
+        return float(np.floor(np.log1p(MIXTURE * (mass[:, 1] / mass[:, 0] - 1)) * UNIT + 0.5).sum() / UNIT)
 
 
 class Fitted:
@@ -271,7 +271,7 @@ def _scale(counts: DataFrame) -> tuple[float, int]:
 
 def _fixed(mass: list[Column]) -> Column:
     """Evidence of a word of these probabilities, as an integer."""
-    return F.round(F.log1p(MIXTURE * (mass[1] / mass[0] - 1)) * UNIT).cast("bigint")
+    return F.floor(F.log1p(MIXTURE * (mass[1] / mass[0] - 1)) * UNIT + 0.5).cast("bigint")
 
 
 def _halves(mass: list[Column], name: str) -> list[Column]:
