@@ -12,7 +12,8 @@ from curbwise.operators.cluster import label_bounded
 from curbwise.operators.naming import searched_names, with_address_names
 from curbwise.operators.nearby import within_metres
 from curbwise.operators.recommend import cluster_centres
-from curbwise.operators.spots import upper_quartile
+from curbwise.operators.quantiles import exact_quantiles
+from curbwise.operators.spots import upper_quartile_bounded
 from curbwise.session import stage
 
 DEFAULT_LEVEL = 6
@@ -50,8 +51,8 @@ def heat_candidates(
 
 
 def keep_busiest_quarter(candidates: DataFrame) -> DataFrame:
-    """Per request, spots that reach the upper quartile of the candidates' counts."""
-    return upper_quartile(candidates.withColumnRenamed("count", "cnt"), ["request_id"]).withColumnRenamed(
+    """Per request, spots that reach the upper quartile of the candidates' counts; the radius bounds a request's candidates."""
+    return upper_quartile_bounded(candidates.withColumnRenamed("count", "cnt"), ["request_id"]).withColumnRenamed(
         "cnt", "count"
     )
 
@@ -63,6 +64,22 @@ def request_statistics(candidates: DataFrame) -> DataFrame:
     )
 
 
+def statistics_any_size(candidates: DataFrame, keys: list[str]) -> DataFrame:
+    """The same statistics for groups of any size."""
+    plain, shares = [], {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    for name in ("count", "distance"):
+        value = F.col(name).cast("double")
+        plain += [
+            F.count(value).alias(f"{name}_count"), F.avg(value).alias(f"{name}_mean"), F.stddev_samp(value).alias(f"{name}_std"),
+            F.min(value).alias(f"{name}_min"), F.max(value).alias(f"{name}_max"),
+        ]
+    out = candidates.groupBy(*keys).agg(*plain)
+    for name in ("count", "distance"):
+        quartiles = exact_quantiles(candidates, keys, name, {f"{name}_{p}": share for p, share in shares.items()})
+        out = out.join(quartiles, keys, "left")
+    return out
+
+
 def clustered(candidates: DataFrame) -> DataFrame:
     """Per request, candidates merged into weighted cluster centres.
 

@@ -19,6 +19,7 @@ from curbwise.functions import cells
 from curbwise.functions.cells import ROUGH_PRECISION, SPOT_PRECISION
 from curbwise.functions.measures import PICO_SUM, joined_sum, pico_degrees, pico_sums, rounded_mean
 from curbwise.functions.text import pack_chain, pack_spot
+from curbwise.operators.quantiles import exact_quantiles
 
 CELLS_PER_ROUGH = 32 ** (SPOT_PRECISION - ROUGH_PRECISION)
 SUPPORT_QUANTILE = 0.75
@@ -162,12 +163,20 @@ def upper_quartile(spots: DataFrame, keys: list[str]) -> DataFrame:
     """Spots whose count reaches the exact upper quartile of their group.
 
     For groups without a size bound: the quantile is a partial aggregate, and
-    joining it back lets adaptive execution split a skewed group.
+    joining it back lets adaptive execution split a skewed group. Its buffer
+    holds the distinct counts of a group; where these may be very many,
+    ``upper_quartile_any_size`` holds none.
     """
     limits = spots.groupBy(*keys).agg(support_threshold().alias("_limit"))
     return spots.join(limits, keys).where(F.col("cnt") >= F.col("_limit")).drop("_limit")
 
 
+def upper_quartile_any_size(spots: DataFrame, keys: list[str]) -> DataFrame:
+    """The same for groups of any number of rows and distinct counts."""
+    limits = exact_quantiles(spots, keys, "cnt", {"_limit": SUPPORT_QUANTILE})
+    return spots.join(limits, keys).where(F.col("cnt") >= F.col("_limit")).drop("_limit")
+
+
 def upper_quartile_bounded(spots: DataFrame, keys: list[str]) -> DataFrame:
     """The same for groups bounded by a rough cell, in one shuffle."""
     whole = Window.partitionBy(*keys)

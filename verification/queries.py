@@ -20,7 +20,7 @@ from curbwise.plans import heat as heat_plan
 from curbwise.plans import merge, mine
 from curbwise.plans import publish as publish_plan
 from curbwise.plans.name import name_recommendations
-from curbwise.session import staged_path
+from curbwise.session import stage, staged_path
 from curbwise.sources import schemas, tables
 from curbwise.streaming import spot_counts
 from verification import inputs as given
@@ -557,6 +557,22 @@ def upper_quartile_cooccur(spark: SparkSession, sf: str) -> DataFrame:
     return given.chains(spark, sf).cooccur
 
 
+_USED_BUSY = ("SELECT city, exp_geohash, spot, cnt FROM used_spots"
+              " QUALIFY cnt >= quantile_cont(cnt, 0.75) OVER (PARTITION BY city, exp_geohash)")
+
+
+@query("A6", _USED_BUSY)
+def upper_quartile_any_size(spark: SparkSession, sf: str) -> DataFrame:
+    """The support filter of an expected cell's own spots, by histograms."""
+    pairs = given.pairs(spark, sf)
+    used = spots.attach_spot_stats(pairs.select("city", "exp_cell", "start_cell"), spots.spot_stats(pairs), "start_cell")
+    kept = spots.upper_quartile_any_size(used, ["city", "exp_cell"])
+    return kept.select(
+        "city", cells.cell_text("exp_cell", cells.SPOT_PRECISION).alias("exp_geohash"),
+        cells.cell_text("start_cell", cells.SPOT_PRECISION).alias("spot"), "cnt",
+    )
+
+
 @query("A8", "SELECT city, exp_geohash, spot, cluster FROM labels")
 def cluster_labels(spark: SparkSession, sf: str) -> DataFrame:
     """A point's kept spots lie in one rough cell: groups bounded by geometry."""
@@ -602,9 +618,7 @@ def _describe_sql(source: str) -> str:
     return f"SELECT request_id, {', '.join(parts)} FROM {source} GROUP BY request_id"
 
 
-@query("A11", _describe_sql("heat_pair"))
-def heat_statistics(spark: SparkSession, sf: str) -> DataFrame:
-    stats = heat.request_statistics(heat.heat_candidates(given.requests(spark, sf), given.spots(spark, sf)))
+def _statistics_plain(stats: DataFrame) -> DataFrame:
     return stats.select("request_id", *[
         c for name, places in (("count", 6), ("distance", 3))
         for c in (F.col(f"{name}_count"), *[
@@ -613,6 +627,18 @@ def heat_statistics(spark: SparkSession, sf: str) -> DataFrame:
     ])
 
 
+@query("A11", _describe_sql("heat_pair"))
+def heat_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    return _statistics_plain(heat.request_statistics(heat.heat_candidates(given.requests(spark, sf), given.spots(spark, sf))))
+
+
+@query("A11", _describe_sql("heat_pair"))
+def heat_statistics_any_size(spark: SparkSession, sf: str) -> DataFrame:
+    """Quartiles from histograms, without a buffer per group."""
+    near = stage(heat.heat_candidates(given.requests(spark, sf), given.spots(spark, sf)), "heat")
+    return _statistics_plain(heat.statistics_any_size(near, ["request_id"]))
+
+
 @query("A12", "SELECT request_id, geohash, count FROM heat_busy")
 def heat_busiest_quarter(spark: SparkSession, sf: str) -> DataFrame:
     near = heat.heat_candidates(given.requests(spark, sf), given.spots(spark, sf))
