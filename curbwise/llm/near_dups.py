@@ -349,8 +349,9 @@ def _with_class(rows: DataFrame, by_key: DataFrame) -> DataFrame:
 
 
 def has_words(text: str) -> Column:
-    """Is there an ASCII letter or digit, or a character beyond ASCII?"""
-    return F.coalesce(F.col(text).rlike("[0-9A-Za-z]|[^\\x00-\\x7F]"), F.lit(False))
+    """Is there a character that is no white space, as ``str.split`` knows it?"""
+    space = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+    return F.coalesce(F.col(text).rlike(f"[^{space}]"), F.lit(False))
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -138,3 +138,27 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(m.n, 0) AS
        coalesce(m.n, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN marked m ON m.doc_id = d.doc_id LEFT JOIN named t ON t.doc_id = d.doc_id
 """
+#: Exact shingle overlap of all pairs that share a shingle, and components of those at 0.8 or more; equal texts once.
+NEAR_DUPS = r"""
+WITH RECURSIVE texts AS (
+  SELECT min(doc_id) AS id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') AS words
+  FROM documents WHERE text IS NOT NULL GROUP BY text),
+shingles AS MATERIALIZED (
+  SELECT id, hash(s) AS s, count(*) AS n
+  FROM (SELECT id, unnest([array_to_string(words[i:i + least(5, len(words)) - 1], ' ')
+                           for i in range(1, len(words) - least(5, len(words)) + 2)]) AS s
+        FROM texts WHERE len(words) > 0)
+  GROUP BY ALL),
+sizes AS (SELECT id, sum(n) AS total FROM shingles GROUP BY id),
+links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.id AS a, y.id AS b, sum(least(x.n, y.n)) AS shared
+                    FROM shingles x JOIN shingles y ON x.s = y.s AND x.id < y.id GROUP BY ALL) p
+  JOIN sizes t ON t.id = a JOIN sizes u ON u.id = b
+  WHERE shared >= 0.8 * (t.total + u.total - shared)),
+both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT id, id AS member FROM sizes UNION SELECT r.id, l.b FROM reach r JOIN both_ways l ON l.a = r.member),
+classes AS (SELECT id, min(member) AS class_id FROM reach GROUP BY id)
+SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id
+FROM documents d LEFT JOIN (SELECT text, min(doc_id) AS id FROM documents GROUP BY text) t ON t.text = d.text
+LEFT JOIN classes c ON c.id = t.id
+"""

@@ -127,5 +127,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_quality": oracles.QUALITY,
     "op5_decontamination": oracles.DECONTAMINATION,
+    "op6_near_dups": oracles.NEAR_DUPS,
     "op8_url_filter": oracles.URLS,
 }

@@ -26,10 +26,9 @@ every stem (a word with neither is unknown and moves nothing) and every bigram o
 two such words seen at least ``LEAST_BIGRAM`` times is a row of one staged table
 of what it adds to the evidence: a stem its own evidence, a word what it adds to
 its stem's, a bigram what it adds to its second word's. Rows that add nothing, which
-most rare bigrams of the ordinary class are, are left out. The rows seen at
-least once in ``LOCAL`` words are broadcast and added where a text is read; that
-is a share of the words, so it bounds them and leaves the same part of a text to
-the join at every size of the corpus. The others are joined: a text's n-grams are grouped by n-gram in each task, so that a frequent
+most rare bigrams of the ordinary class are, are left out. The most frequent rows,
+``LOCAL`` at most, are broadcast and added where a text is read. The others, if
+there are more, are joined by the same plan: a text's n-grams are grouped by n-gram in each task, so that a frequent
 one is a row per block of texts, and a filter of fixed size keeps back only those
 that are surely not in the table. Evidence counts in whole steps of 1 / ``UNIT``, so
 neither ``LOCAL`` nor the filter nor the partitioning changes it. N-grams are
@@ -66,9 +65,9 @@ CALIBRATION_ROWS = 20_000
 BROADCAST_LABELS = 1_000_000
 #: Distinct n-grams a task holds before it passes their counts on.
 HELD = 400_000
-#: Rows of the evidence table seen at least once in so many words are broadcast (16 bytes each, three times as many rows
-#: at most, whatever the corpus); the rest is joined. Only speed depends on it.
-LOCAL = 1_000_000
+#: Rows of the evidence table that are broadcast, the most frequent ones (16 bytes each); the rest is joined. Only speed
+#: depends on it.
+LOCAL = 2_000_000
 #: Bits of the filter of the joined n-grams (16 MB), in words of 32; only speed depends on it.
 FILTER_WORDS = 1 << 22
 #: Evidence of 1 as an integer. A step is small beside the evidence of an insult; what rounds to no step is no row.
@@ -256,17 +255,16 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int = 0)
         return float(shares.get(1, 0) > 0)
     curve_part = (held_out + 1) % modulus
     counted = rows.where(F.col("part") != curve_part)
-    evidence, words = evidence_table(counted)
-    model = _split(stage(evidence, "toxic-evidence"), words)
+    model = _split(stage(evidence_table(counted), "toxic-evidence"))
     curve = rows.where(F.col("part") == curve_part)
     _calibrate(model, counted if curve.isEmpty() else curve)
     return model
 
 
-def _scale(counts: DataFrame) -> tuple[float, int]:
-    """What brings the ordinary class's counts to the size of the toxic class, and how many there are of both."""
+def _scale(counts: DataFrame) -> float:
+    """What brings the ordinary class's counts to the size of the toxic class."""
     total = counts.agg(*[F.coalesce(F.sum(f"n{c}"), F.lit(0)).alias(f"n{c}") for c in (0, 1)]).first()
-    return max(total["n1"], 1) / max(total["n0"], 1), total["n0"] + total["n1"]
+    return max(total["n1"], 1) / max(total["n0"], 1)
 
 
 def _fixed(mass: list[Column]) -> Column:
@@ -279,14 +277,14 @@ def _halves(mass: list[Column], name: str) -> list[Column]:
     return [(2 * each / (mass[0] + mass[1])).alias(f"{name}{c}") for c, each in enumerate(mass)]
 
 
-def evidence_table(rows: DataFrame) -> tuple[DataFrame, int]:
-    """(key, value, seen): what each stem, word and bigram of (text, toxic) adds to the evidence; and the number of words."""
+def evidence_table(rows: DataFrame) -> DataFrame:
+    """(key, value, seen): what each stem, word and bigram of (text, toxic) adds to the evidence, where it adds anything."""
     n = [F.col("n0"), F.col("n1")]
     seen = n[0] + n[1]
     words = stage(_counted(rows, False), "toxic-words")
     grams = stage(_counted(rows, True), "toxic-bigrams")
     stems = stage(words.groupBy("stem").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxic-stems")
-    scale, counted = _scale(words)
+    scale = _scale(words)
     scaled = [n[0] * scale, n[1] * 1.0]
     kinds = (n[0] > 0).cast("int") + (n[1] > 0).cast("int")
     # Whole numbers, so that the order of addition does not matter.
@@ -300,7 +298,7 @@ def evidence_table(rows: DataFrame) -> tuple[DataFrame, int]:
     left = grams.groupBy(F.col("second").alias("word")).agg(
         *[F.sum((each > 0).cast("bigint")).alias(f"k{c}") for c, each in enumerate(n)]
     )
-    scale, _ = _scale(left.withColumnsRenamed({"k0": "n0", "k1": "n1"}))
+    scale = _scale(left.withColumnsRenamed({"k0": "n0", "k1": "n1"}))
     frequent = words.where(seen >= LEAST_WORD).select("word", "stem", seen.alias("seen"))
     known = frequent.join(left, "word", "left").join(stems.drop("seen"), "stem")
     follows = [F.coalesce(F.col("k0"), F.lit(0)) * scale, F.coalesce(F.col("k1"), F.lit(0)) * 1.0]
@@ -325,19 +323,25 @@ def evidence_table(rows: DataFrame) -> tuple[DataFrame, int]:
             yield pa.RecordBatch.from_arrays([key, batch.column("value"), batch.column("seen")], ["key", "value", "seen"])
 
     pairs = pairs.select("first", "second", (of_pair - of_word).alias("value"), seen.alias("seen"))
-    table = (
+    return (
         stems.select(F.col("stem").alias("key"), of_stem.alias("value"), "seen")
         .unionByName(known.select(F.col("word").alias("key"), (of_word - F.col("of_stem")).alias("value"), "seen"))
         .unionByName(pairs.where("value <> 0").mapInArrow(keyed, "key bigint, value bigint, seen bigint"))
         .where("value <> 0")
     )
-    return table, counted
 
 
-def _split(table: DataFrame, words: int) -> Fitted:
-    """The frequent rows as arrays, the others as a table with its filter; ``words`` is how many words were counted."""
-    near = table.where(F.col("seen") * LOCAL >= words)
-    others = table.where(F.col("seen") * LOCAL < words)
+def _split(table: DataFrame) -> Fitted:
+    """The most frequent rows as arrays, the others as a table with its filter."""
+    # Rows seen about as often are told apart by their hash, so that the arrays are nearly filled.
+    level = F.floor(F.log2(F.col("seen").cast("double")) * 4).cast("int") * 16
+    table = table.withColumn("level", level + F.col("key").bitwiseAND(F.lit(15)).cast("int"))
+    least, room = 1 << 30, LOCAL
+    for row in table.groupBy("level").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("level")).collect():
+        if row["n"] > room:
+            break
+        least, room = row["level"], room - row["n"]
+    near, others = table.where(F.col("level") >= least), table.where(F.col("level") < least)
     near = near.select("key", "value").toArrow()
     keys, values = near.column("key").to_numpy().view(np.uint64), near.column("value").to_numpy()
     order = np.argsort(keys)
