@@ -162,7 +162,11 @@ def nearest_place(
     there is little to find.
     """
     here = [*on, "lat", "lng"]
-    order = F.struct(F.round("distance", 3).alias("distance"), place_id, *[c for c in carried if c != place_id])
+    rest = [c for c in carried if c != place_id]
+    # Of places at the same spot only the one with the least id can be the nearest.
+    first = places.groupBy(*on, *place_at).agg(F.min(F.struct(place_id, *rest)).alias("_first"))
+    places = stage(first.select(*on, *place_at, "_first.*"), "nearest-places")
+    order = F.struct(F.round("distance", 3).alias("distance"), place_id, *rest)
     waiting, reach, found = points.select(*here).distinct(), min(FIRST_RING_M, metres), []
     while True:
         near = within_metres(waiting, places, reach, list(on), right_at=place_at)

@@ -20,8 +20,12 @@ def heat_query(
 
     Statistics cover the candidates after the filter and before clustering. A
     request that finds nothing keeps one row with status 1 and info EMPTY.
+    Every distinct place is answered once, under the least id that asks for it,
+    and its answer handed to all requests for it at the end.
     """
-    found = heat.heat_candidates(requests, spots, level, radius)
+    here = ["city", "lat", "lng"]
+    places = stage(requests.groupBy(*here).agg(F.min("request_id").alias("asked")), "heat-asked")
+    found = heat.heat_candidates(places.withColumnRenamed("asked", "request_id"), spots, level, radius)
     if filter_by_count:
         found = heat.keep_busiest_quarter(found)
     found = stage(found, "heat")
@@ -30,8 +34,8 @@ def heat_query(
     best = heat.named(stage(heat.hottest(points, top), "hottest"), pois, addresses)
     answers = statistics.join(
         best.select("request_id", "rank", "geohash", "lat", "lng", "count", "distance", "name"), "request_id"
-    )
-    rows = requests.select("request_id").join(answers, "request_id", "left")
+    ).withColumnRenamed("request_id", "asked")
+    rows = requests.select("request_id", *here).join(places, here, "left").drop(*here).join(answers, "asked", "left").drop("asked")
     empty = F.col("rank").isNull()
     return rows.select(
         "*", F.when(empty, 1).otherwise(0).alias("status"), F.when(empty, "EMPTY").otherwise("OK").alias("info"),
