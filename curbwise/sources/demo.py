@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from curbwise.session import staged_path
+from curbwise.sources.replace import gathered
 
 DEMO_SQL: dict[str, str] = {}
 
@@ -145,8 +146,12 @@ def demo_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     operators the same kind of scan.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
+    plan = demo_plan(spark, sf_dir, name)
     if key not in _staged:
         path = staged_path(spark, f"demo-{name}")
-        demo_plan(spark, sf_dir, name).write.parquet(path)
+        if "dt" in plan.columns:  # a folder per day, as raw orders have
+            gathered(plan, "dt").write.partitionBy("dt").parquet(path)
+        else:
+            plan.write.parquet(path)
         _staged[key] = path
-    return spark.read.parquet(_staged[key])
+    return spark.read.schema(plan.schema).parquet(_staged[key]).select(*plan.columns)
