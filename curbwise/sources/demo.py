@@ -14,20 +14,23 @@ from curbwise.sources.replace import gathered
 DEMO_SQL: dict[str, str] = {}
 
 # One customer in six asks in a far zone, of one kind (t) each: where the nearest
-# pickup is 130, 180, 250, 400 or 700 m away (the last kind with very many spots),
-# or where one pickup has most of the orders.
+# pickup is 130, 180, 250, 400 or 700 m away (the last kind with very many spots,
+# the one before with some of them in another rough cell, so that nothing is
+# recommended), or where one pickup has most of the orders.
 DEMO_SQL["order"] = """
 WITH k AS (
   SELECT CAST(o_orderkey AS BIGINT) AS oid, CAST(o_custkey AS BIGINT) AS uid,
          CAST(o_orderkey % 84 AS BIGINT) AS d, CAST((o_custkey * 7919) % 48 AS BIGINT) AS s,
-         CASE WHEN o_custkey % 6 = 5 THEN 1 + CAST((o_custkey - 5) / 6 AS BIGINT) % 6 ELSE 0 END AS t
+         CASE WHEN o_custkey % 6 = 5 THEN 1 + CAST((o_custkey - 5) / 6 AS BIGINT) % 6 ELSE 0 END AS t,
+         CAST((o_custkey - 5 - (o_custkey - 5) % 36) / 36 AS BIGINT) % 3 AS far
   FROM {orders}),
 m AS (
   SELECT oid, uid, d, t,
     CASE WHEN uid % 5 < 4 THEN 'bj' ELSE 'sh' END AS city,
     CASE WHEN uid % 5 < 4 THEN 39900000 ELSE 31200000 END
       + CASE WHEN t = 0 THEN CAST((s - s % 8) / 8 AS BIGINT) * 2500 WHEN t = 5 THEN 66600 ELSE 38600 + t * 5500 END AS la,
-    CASE WHEN uid % 5 < 4 THEN 116300000 ELSE 121400000 END + CASE WHEN t = 0 THEN (s % 8) * 3200 WHEN t = 5 THEN -3300 ELSE s % 3 * 11000 END AS ln
+    CASE WHEN uid % 5 < 4 THEN 116300000 ELSE 121400000 END + CASE WHEN t = 0 THEN (s % 8) * 3200 WHEN t = 5 THEN -3300 WHEN t = 4 AND far = 0 THEN 5000 WHEN t = 6 THEN 11000
+      ELSE far * 11000 END AS ln
   FROM k),
 v AS (
   SELECT oid, uid, d, t, city, la, ln, 0 AS rev FROM m

@@ -320,14 +320,19 @@ def orders_with_spot_stats(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("J3", "SELECT p.city, p.exp_geohash, a.spot, a.cnt FROM points p LEFT JOIN around a ON p.city = a.city"
+def _known_count(rows: DataFrame) -> DataFrame:
+    """-1 where a point has no spot."""
+    return rows.withColumn("cnt", F.coalesce("cnt", F.lit(-1)))
+
+
+@query("J3", "SELECT p.city, p.exp_geohash, a.spot, coalesce(a.cnt, -1) AS cnt FROM points p LEFT JOIN around a ON p.city = a.city"
        " AND p.exp_rough = a.rough")
 def around_join(spark: SparkSession, sf: str) -> DataFrame:
     chains = given.chains(spark, sf)
-    return spots.around_join(chains.points, chains.around).select("city", "exp_geohash", "spot", "cnt")
+    return _known_count(spots.around_join(chains.points, chains.around).select("city", "exp_geohash", "spot", "cnt"))
 
 
-_CHAINS = ("SELECT p.city, p.exp_geohash, exp_lat, exp_lng, 'around' AS kind, spot, cnt, lat, lng FROM points p LEFT JOIN"
+_CHAINS = ("SELECT p.city, p.exp_geohash, exp_lat, exp_lng, 'around' AS kind, spot, coalesce(cnt, -1) AS cnt, lat, lng FROM points p LEFT JOIN"
            " around a ON p.city = a.city AND p.exp_rough = a.rough UNION ALL SELECT p.city, p.exp_geohash, exp_lat,"
            " exp_lng, 'cooccur', spot, cnt, lat, lng FROM points p JOIN cooccur c ON p.city = c.city"
            " AND p.exp_geohash = c.exp_geohash")
@@ -335,7 +340,7 @@ _CHAINS = ("SELECT p.city, p.exp_geohash, exp_lat, exp_lng, 'around' AS kind, sp
 
 @query("J4", _CHAINS)
 def chains_of_points(spark: SparkSession, sf: str) -> DataFrame:
-    return spots.chain_rows(given.chains(spark, sf))
+    return _known_count(spots.chain_rows(given.chains(spark, sf)))
 
 
 @query("J5", "SELECT city, exp_geohash, spot, CASE WHEN linked THEN 'cooccur' ELSE 'around' END AS tag FROM marked")
@@ -1067,7 +1072,7 @@ def _scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("E3 U2", _CHAINS)
 def candidate_chains(spark: SparkSession, sf: str) -> DataFrame:
-    return spots.chain_rows(mine.mine_chains(_scan(spark, sf)))
+    return _known_count(spots.chain_rows(mine.mine_chains(_scan(spark, sf))))
 
 
 @query("E4 U3 U4 U5", _FLAT)
