@@ -90,6 +90,19 @@ def test_nearest_search_falls_back_to_the_full_radius(spark):
     assert names == {39.9: "gate附近"}
 
 
+def test_address_names_leave_no_address_out(spark):
+    from verification.queries import REGISTRY
+
+    data = "/root/testdata/sf0.001"
+    rows = REGISTRY["address_names"].run(spark, data)
+    assert rows.count() == spark.read.parquet(f"{data}/customer.parquet").count()
+    assert rows.where("address = ''").count() == 0
+    schema = "point_id bigint, formatted_address string, province string, address_city string, district string, township string"
+    addresses = spark.createDataFrame([(1, "北京市海淀区路7号", "北京市", None, "海淀区", None)], schema)
+    got = naming.address_names(spark.range(1, 3).toDF("point_id"), addresses)
+    assert sorted(map(tuple, got.collect())) == [(1, "路7号"), (2, "")]
+
+
 def test_address_trims(spark):
     rows = [("街道口东", None, None, None, None), ("海淀镇中心镇北", None, None, None, None),
             ("北京市海淀区北京市场", "北京市", "北京市", "海淀区", None)]

@@ -47,8 +47,8 @@ def demo(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return demo_table(spark, sf, name)
 
 
-def addresses(spark: SparkSession, sf: str) -> DataFrame:
-    return demo(spark, sf, "address").withColumnRenamed("city", "address_city")
+def addresses(spark: SparkSession, sf: str, name: str = "address") -> DataFrame:
+    return demo(spark, sf, name).withColumnRenamed("city", "address_city")
 
 
 def located_addresses(spark: SparkSession, sf: str) -> DataFrame:

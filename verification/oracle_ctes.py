@@ -216,6 +216,7 @@ def _box(a: str, b: str, metres: float) -> str:
 
 CTES |= {
     "address_rows": "SELECT * RENAME (city AS address_city) FROM fx_address",
+    "whole_address_rows": "SELECT * RENAME (city AS address_city) FROM fx_whole_address",
     "located_address": (
         "SELECT a.*, r.lat, r.lng FROM address_rows a JOIN fx_request r ON a.point_id = r.request_id"
     ),
