@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from curbwise.plans import merge
-from curbwise.session import staged_path
+from curbwise.session import staged_path, staging_run
 from curbwise.sources import replace, tables
 from curbwise.streaming import spot_counts
 from verification import inputs as given
@@ -119,3 +119,14 @@ def test_the_demo_orders_make_the_rules_act(spark):
     fallback = named.where(F.col("name").endswith("-推荐上车点"))
     assert fallback.where("name <> '-推荐上车点'").count() > 0 and fallback.where("name = '-推荐上车点'").count() > 0
     assert 0 < given.named(spark, SMALL).where("regeo = ''").count() < found.count()
+
+
+def test_tables_whose_staged_folder_is_gone_are_derived_again(spark):
+    from verification.queries import REGISTRY
+
+    data = f"file://{SMALL}"  # remembered apart from the tables of the other tests
+    names = ("address_marker_trim", "cell_counts")
+    with staging_run(spark):
+        inside = [sorted(map(tuple, REGISTRY[name].run(spark, data).collect())) for name in names]
+    after = [sorted(map(tuple, REGISTRY[name].run(spark, data).collect())) for name in names]
+    assert after == inside and all(inside)
