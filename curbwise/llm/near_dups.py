@@ -186,9 +186,8 @@ def _spelled(wanted: DataFrame, nodes: DataFrame, keyed: DataFrame) -> DataFrame
     return stage(found.select("node", "text"), "near-texts")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, spelled: DataFrame) -> DataFrame:
     """The pairs of nodes whose multisets have a similarity of at least 0.8."""
-    spelled = _spelled(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), nodes, keyed)
     both = pairs
     for end in ("a", "b"):
         both = both.join(spelled.toDF(end, f"text_{end}"), end)
@@ -206,7 +205,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame) -> DataFrame
     return measured.where(F.col("similarity") >= SIMILARITY).select("a", "b").distinct()
 
 
-def _between(crowded: DataFrame, joined: DataFrame, nodes: DataFrame, keyed: DataFrame) -> DataFrame:
+def _between(crowded: DataFrame, joined: DataFrame, nodes: DataFrame, spelled: DataFrame) -> DataFrame:
     """Links between the components that meet in a bucket, found block by block.
 
     Of the components in a bucket the largest is its main one; the other texts
@@ -228,7 +227,6 @@ def _between(crowded: DataFrame, joined: DataFrame, nodes: DataFrame, keyed: Dat
     mains = guests.select("main").distinct()
     members = placed.select("node", "part").distinct().join(mains, F.col("part") == F.col("main"))
     rows = guests.select("*", F.lit(True).alias("guest")).union(members.select("main", "node", "part", F.lit(False)))
-    spelled = _spelled(rows.select("node").distinct(), nodes, keyed)
     full = rows.join(nodes.select("node", "weight", "sig"), "node").join(spelled, "node")
     sizes = rows.join(nodes.select("node", "weight"), "node").groupBy("main").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("weight") / BLOCK_WEIGHT)).alias("chunks")
@@ -316,10 +314,12 @@ def _find(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame
     stars = crowded.join(leaders, "bucket").where("node != leader").select(
         F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")
     ).distinct()
-    links = stage(_verified(stage(_promising(stars, nodes), "near-pairs"), nodes, keyed), "near-links")
+    # All texts move once to find those of the buckets, which serve both steps.
+    spelled = _spelled(crowded.select("node").distinct(), nodes, keyed)
+    links = stage(_verified(stage(_promising(stars, nodes), "near-pairs"), spelled), "near-links")
     joined = components(links, "a", "b")
 
-    more = _between(crowded, joined, nodes, keyed)
+    more = _between(crowded, joined, nodes, spelled)
     if not more.isEmpty():
         joined = components(links.union(more), "a", "b")
     copies = signed.where("weight > 0").groupBy("key").agg(
@@ -373,7 +373,11 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     worded = has_words(names[text])
     joined = _with_class(plain.where(worded).withColumn("key", _key(names[text])), by_key)
     kept = joined.where((F.col("node") == F.col("head")) & F.col(names[doc_id]).eqNullSafe(F.col("class_id")))
+    # Only a text of several rows can be there twice: all others are not moved again.
     whole = F.struct(*names.values())
-    once = kept.groupBy("key").agg(F.min_by(whole, F.to_json(whole, {"ignoreNullFields": "false"})).alias("row"))
-    left = plain.where(~worded).unionByName(once.select("row.*"))
+    once = kept.where("copies > 1").groupBy("key").agg(
+        F.min_by(whole, F.to_json(whole, {"ignoreNullFields": "false"})).alias("row")
+    )
+    single = kept.where("copies = 1").select(*names.values())
+    left = plain.where(~worded).unionByName(single).unionByName(once.select("row.*"))
     return left.select(*[F.col(short).alias(name) for name, short in names.items()])
