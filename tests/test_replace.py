@@ -1,11 +1,13 @@
 """Whole-span replacement, and counting a stream of files."""
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from conftest import SMALL
+from curbwise import session
 from curbwise.plans import merge
-from curbwise.session import staged_path, staging_run
+from curbwise.session import staged_path, staging_root, staging_run
 from curbwise.sources import replace, tables
 from curbwise.streaming import spot_counts
 from verification import inputs as given
@@ -130,3 +132,27 @@ def test_tables_whose_staged_folder_is_gone_are_derived_again(spark):
         inside = [sorted(map(tuple, REGISTRY[name].run(spark, data).collect())) for name in names]
     after = [sorted(map(tuple, REGISTRY[name].run(spark, data).collect())) for name in names]
     assert after == inside and all(inside)
+
+
+def _on_a_cluster(spark):
+    other = spark.newSession()
+    other.conf.set("spark.master", "spark://host:7077")  # as its sessions say; the work stays here
+    return other
+
+
+def test_a_cluster_stages_in_a_folder_without_a_scheme(spark):
+    from verification.queries import REGISTRY
+
+    cluster, data = _on_a_cluster(spark), f"file:{SMALL}"  # remembered apart from the tables of the other tests
+    assert "://" not in staging_root(cluster) and staging_root(cluster) == staging_root(spark)
+    for name in ("compass_bearing", "address_trim"):
+        got = sorted(map(tuple, REGISTRY[name].run(cluster, data).collect()))
+        assert got and got == sorted(map(tuple, REGISTRY[name].run(spark, SMALL).collect()))
+
+
+def test_a_folder_that_executors_do_not_share_is_refused(spark, monkeypatch):
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(session, "_shared", set())
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: write(spark.range(0).write, path))
+    with pytest.raises(RuntimeError, match="do not share"):
+        staging_root(_on_a_cluster(spark))
