@@ -70,18 +70,23 @@ def best_names(candidates: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def searched_names(places: DataFrame, pois: DataFrame) -> DataFrame:
-    """The best name per distinct (city, lat, lng) place among preferred types.
+def names_in_reach(places: DataFrame, pois: DataFrame) -> DataFrame:
+    """The best name per distinct (city, lat, lng) place.
 
     Searched close by first: whatever lies there wins, since a preferred type
-    within reach outranks anything farther. Only places with nothing close
-    search the full radius, and those are places where little lies around.
+    within reach outranks anything farther and all others go by distance. Only
+    places with nothing close search the full radius, and those are places where
+    little lies around.
     """
     here = ["city", "lat", "lng"]
-    typed = of_preferred_type(pois)
-    close = stage(best_names(pois_around(places, typed, PREFERRED_REACH_M), here), "names-close")
+    close = stage(best_names(pois_around(places, pois, PREFERRED_REACH_M), here), "names-close")
     lonely = places.join(close, here, "left_anti")
-    return close.unionByName(best_names(pois_around(lonely, typed), here))
+    return close.unionByName(best_names(pois_around(lonely, pois), here))
+
+
+def searched_names(places: DataFrame, pois: DataFrame) -> DataFrame:
+    """The best name per distinct (city, lat, lng) place among preferred types."""
+    return names_in_reach(places, of_preferred_type(pois))
 
 
 def short_addresses(addresses: DataFrame) -> DataFrame:

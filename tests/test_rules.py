@@ -4,9 +4,11 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SMALL
 from curbwise.functions import calendar, text
 from curbwise.functions.measures import rounded_mean
 from curbwise.operators import naming, nearby, orders, recommend, roads, spots
+from verification import inputs as given
 
 
 def test_upper_quartile_case(spark):
@@ -90,6 +92,28 @@ def test_nearest_search_falls_back_to_the_full_radius(spark):
     assert names == {39.9: "gate附近"}
 
 
+def test_best_names_search_each_place_once_and_far_only_where_nothing_is_close(spark, monkeypatch):
+    from verification.queries import REGISTRY
+
+    asked = given.demo(spark, SMALL, "request")
+    plain = naming.best_names(naming.pois_around(asked, given.demo(spark, SMALL, "poi")), ["request_id"])
+    twice = asked.unionByName(asked.withColumn("request_id", F.col("request_id") + 1_000_000))
+    demo, search, searches = given.demo, naming.pois_around, []
+    monkeypatch.setattr(given, "demo", lambda spark, sf, name: twice if name == "request" else demo(spark, sf, name))
+
+    def counted(points, pois, reach=naming.SEARCH_REACH_M):
+        searches.append((reach, points.count()))
+        return search(points, pois, reach)
+
+    monkeypatch.setattr(naming, "pois_around", counted)
+    got = REGISTRY["best_poi_names"].run(spark, SMALL).collect()
+    want = {r.request_id: r.name for r in plain.collect()}
+    assert want and sorted(map(tuple, got)) == sorted([*want.items(), *((k + 1_000_000, name) for k, name in want.items())])
+    places = asked.select("city", "lat", "lng").distinct().count()
+    assert [reach for reach, _ in searches] == [naming.PREFERRED_REACH_M, naming.SEARCH_REACH_M]
+    assert searches[0][1] == places > searches[1][1]
+
+
 def test_address_names_leave_no_address_out(spark):
     from verification.queries import REGISTRY
 
