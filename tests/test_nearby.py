@@ -1,10 +1,12 @@
 """Distance joins, nearest places and search steps against every pair."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from curbwise.functions import geo
 from curbwise.functions.geo import haversine_m, with_ellipsoid_m
 from curbwise.operators import cluster, naming, nearby
 from test_geo import vincenty
@@ -37,6 +39,51 @@ def test_pairs_within_reach_anywhere_on_earth(spark, lat, lng, d_lat, d_lng):
     assert got == want and want
 
 
+@pytest.mark.parametrize("lat, lng, d_lat, d_lng", [
+    (39.9, 116.3, 0.01, 0.012), (-17.0, 180.0, 0.01, 0.01), (89.995, 0.0, 0.01, 180.0), (88.998, 180.0, 0.01, 0.6),
+])
+def test_blocks_have_the_pairs_within_reach(spark, monkeypatch, lat, lng, d_lat, d_lng):
+    monkeypatch.setattr(nearby, "BLOCK_POINTS", 3)
+    monkeypatch.setattr(nearby, "BLOCK_PAIRS", 40)
+    rnd = random.Random(lat)
+    a, b = scatter(rnd, 60, lat, lng, d_lat, d_lng), scatter(rnd, 60, lat, lng, d_lat, d_lng)
+    left = spark.createDataFrame([*a, *a[:5], (None, lat, lng), (98, None, lng), (99, lat, None)], "i int, lat double, lng double")
+    right = spark.createDataFrame([*b, *b[:5], (98, None, lng), (99, lat, None)], "j int, poi_lat double, poi_lng double")
+    got = nearby.within_metres_by_block(left, right, 400.0, [])
+    every = with_ellipsoid_m(left.crossJoin(right), "lat", "lng", "poi_lat", "poi_lng", "d", 8)
+    key = lambda r: (r.i is None, r.i, r.j, r[-1])
+    got, want = sorted(got.collect(), key=key), sorted(every.where("d <= 400").collect(), key=key)
+    assert want and [tuple(r)[:-1] for r in got] == [tuple(r)[:-1] for r in want]
+    assert max(abs(x.distance - y.d) for x, y in zip(got, want, strict=True)) < 1e-7
+
+
+def test_chord_is_the_distance_to_some_nanometres(spark):
+    rnd, rows = random.Random(4), []
+    for _ in range(400):
+        lat, lng, reach = rnd.uniform(-84, 84), rnd.uniform(-180, 180), rnd.uniform(0.0001, 0.009)
+        rows.append((lat, lng, lat + rnd.uniform(-reach, reach), (lng + rnd.uniform(-reach, reach) + 180) % 360 - 180))
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    here, there = geo.axis_and_plane_m("a"), geo.axis_and_plane_m("c")
+    df = df.withColumn("chord", F.expr(geo.near_m(*here, "b", *there, "d")))
+    for r in with_ellipsoid_m(df, "a", "b", "c", "d", "exact", 8).where(f"exact <= {geo.CHORD_REACH_M}").collect():
+        assert abs(r.chord - r.exact) < 2e-8
+    metres = [0.0, 0.0004, 0.0005, 0.0015, 1.0005, 299.99949999, 299.9995, 300.0]
+    got = spark.createDataFrame([(m,) for m in metres], "m double").select(geo.whole_mm(F.col("m")), F.round("m", 3)).collect()
+    assert [r[0] for r in got] == [r[1] for r in got]
+
+
+def test_search_of_pois_is_compiled_and_a_crowded_cell_is_many_tasks(spark):
+    points = spark.createDataFrame([(i, "bj", 39.9, 116.3 + i * 1e-7) for i in range(3000)], "id int, city string, lat double, lng double")
+    pois = spark.createDataFrame(
+        [(1, "bj", 39.9005, 116.3, "gate", "150700")], "poi_id bigint, city string, lat double, lng double, name string, typecode string"
+    )
+    near = naming.pois_around(points, pois)
+    code = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package").codegenString(near._jdf.queryExecution().executedPlan())
+    assert all(int(size) < 8000 for size in re.findall(r"maxMethodCodeSize:(\d+)", code))  # else the JVM interprets it
+    per_task = near.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 3000 and max(r["count"] for r in per_task) < 3000
+
+
 def test_flat_distance_is_within_its_share(spark):
     rnd = random.Random(3)
     rows = []
