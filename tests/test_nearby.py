@@ -84,6 +84,28 @@ def test_search_of_pois_is_compiled_and_a_crowded_cell_is_many_tasks(spark):
     assert sum(r["count"] for r in per_task) == 3000 and max(r["count"] for r in per_task) < 3000
 
 
+def test_pois_are_ranked_where_they_are_found(spark, monkeypatch):
+    monkeypatch.setattr(nearby, "BLOCK_POINTS", 2)
+    rnd = random.Random(6)
+    asked = [(i % 9 if i % 4 else None, "bj", 39.9 + rnd.uniform(0, 0.006), 116.3 + rnd.uniform(0, 0.006)) for i in range(20)]
+    asked += [(100 + i, "bj", 39.901, 116.301 + i * 1e-5) for i in range(9)] + [(108, "bj", 39.901, 116.30108), (7, None, 39.9, 116.3)]
+    points = spark.createDataFrame(asked, "request_id bigint, city string, lat double, lng double")
+    found = [(i % 35, "bj", 39.9 + rnd.uniform(0, 0.006), 116.3 + rnd.uniform(0, 0.006), "gate", "150700") for i in range(40)]
+    found += [(50 + i, "bj", 39.902, 116.302, "gate", "150700") for i in range(3)]
+    pois = spark.createDataFrame(found, "poi_id bigint, city string, lat double, lng double, name string, typecode string")
+    keys = ["request_id"]
+    got = naming.ranked_by_distance(naming.pois_around(points, pois, together=keys), keys)
+    want = naming.ranked_by_distance(naming.pois_around(points, pois), keys)
+    told = lambda df: sorted(map(str, df.select("request_id", "poi_id", "distance", "place").collect()))
+    assert sorted(got.columns) == sorted(want.columns) and told(got) == told(want)
+    settled = naming.pois_around(points, pois, together=keys).groupBy("request_id").agg(F.bool_or("_scattered").alias("s"))
+    assert {r.s for r in settled.collect()} == {True, False}
+    # The window of keys that are in one block stands on the join without an exchange; the other one has its own.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    windows = re.findall(r"Window \[row_number.*?SortMergeJoin", plan, re.S)
+    assert ["Exchange" in w for w in windows] == [False, True]
+
+
 def test_flat_distance_is_within_its_share(spark):
     rnd = random.Random(3)
     rows = []
